@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from roadlens.session import cut_lineage
+
+
+def sized_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+    """Return ``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small``.
+
+    ``small`` is checkpointed into ``spark.checkpoint.dir`` first, so the size
+    check and the join read the same materialised rows and the lineage above
+    it is cut.
+    """
+    saved = cut_lineage(small)
+    n = saved.limit(max_rows + 1).count()
+    return F.broadcast(saved) if n <= max_rows else saved
