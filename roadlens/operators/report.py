@@ -57,7 +57,7 @@ def filter_report(
     if end_mode == "midnight":
         keep = (F.col(ts) >= lo) & (F.col(ts) <= hi)
     elif end_mode == "whole_day":
-        keep = (F.col(ts) >= lo) & (F.col(ts) < F.timestampadd("DAY", F.lit(1), hi))
+        keep = (F.col(ts) >= lo) & (F.col(ts) < F.timestamp_add("DAY", F.lit(1), hi))
     else:
         raise ValueError(f"unknown end_mode {end_mode!r}")
     return df.filter(keep)
