@@ -8,9 +8,11 @@ plain aggregate with a total order, instead of a sort or an arbitrary mode.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.session import cut_lineage
+
 HOURS = list(range(24))
 
 
@@ -76,8 +78,12 @@ def top_value(df: DataFrame, col: str, value_name: str | None = None, count_name
 
 
 def share(counts: DataFrame, count_col: str = "count", name: str = "percent") -> DataFrame:
-    """Per-row percentage of the column total."""
-    total = counts.agg(F.sum(count_col)).scalar()
+    """Per-row percentage of the column total.
+
+    Meant for small, already aggregated tables: the total is a window over the
+    whole (tiny) input, so the input plan runs once.
+    """
+    total = F.sum(count_col).over(Window.partitionBy())
     return counts.withColumn(name, F.round(F.lit(100.0) * F.col(count_col) / total, 6))
 
 
@@ -90,21 +96,30 @@ def explode_count(df: DataFrame, col: str, sep: str = ";", name: str = "violatio
     return items.groupBy(name).agg(F.count(F.lit(1)).alias(count_name))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int = 20, materialize: bool = True) -> DataFrame:
     """Equal-width histogram over [min, max], last bin closed.
 
     Bins ``1..bins`` are all present (zeros included). When min = max every
-    value falls into bin 1. The bounds come from a one-row scalar subquery, so
-    there is no driver round trip.
+    value falls into bin 1. Values are first reduced to distinct values with
+    a multiplicity (a partial aggregate) and, with ``materialize``, that small
+    table is checkpointed: the bounds (a one-row scalar subquery) and the
+    binning then both read it instead of re-running the input plan twice.
     """
-    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    vals = (
+        df.select(F.col(col).cast("double").alias("x"))
+        .filter(F.col("x").isNotNull())
+        .groupBy("x")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    if materialize:
+        vals = cut_lineage(vals)
     bounds = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = hi - lo
     raw_bin = F.floor((F.col("x") - lo) / width * F.lit(bins)).cast("bigint") + 1
     b = F.when(width == 0, F.lit(1)).otherwise(F.least(raw_bin, F.lit(bins)))
-    counts = vals.select(b.cast("bigint").alias("bin")).groupBy("bin").agg(
-        F.count(F.lit(1)).alias("count")
+    counts = vals.select(b.cast("bigint").alias("bin"), "n").groupBy("bin").agg(
+        F.sum("n").alias("count")
     )
     spine = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
     return (

@@ -121,26 +121,28 @@ def iou_pairs(vehs: DataFrame, frame_skip: int, min_iou: float = 0.0) -> DataFra
 
 def frame_context(
     tracks: DataFrame,
-    vehs: DataFrame,
-    people: DataFrame,
-    helmets: DataFrame | None,
+    frame_boxes: DataFrame,
+    with_helmets: bool,
     label_iou: float = 0.5,
+    helmet_class: str = "helmet",
 ) -> DataFrame:
     """For every track row: its label, overlapping persons, helmet presence.
 
-    One join of track boxes with the frame's other boxes, then one aggregate
-    per track row. The track's own vehicle box always passes the join
-    condition, so every track row survives without a join back.
+    ``frame_boxes`` holds every processed box of the frames (vehicles, persons
+    and, when ``with_helmets``, helmets as class ``helmet_class``). One join of
+    the track boxes with that single table on ``(video_id, frame_id)``, then
+    one aggregate per track row. The track's own vehicle box always passes
+    the join condition, so every track row survives without a join back.
     """
-    kinds = [
-        vehs.select(*FRAME, "det_id", "class_name", *BOX, F.lit("vehicle").alias("kind")),
-        people.select(*FRAME, "det_id", "class_name", *BOX, F.lit("person").alias("kind")),
-    ]
-    if helmets is not None:
-        kinds.append(helmets.select(*FRAME, "det_id", "class_name", *BOX, F.lit("helmet").alias("kind")))
-    others = kinds[0]
-    for k in kinds[1:]:
-        others = others.unionByName(k)
+    cls = F.lower(F.col("class_name"))
+    kind = (
+        F.when(cls.isin(list(VEHICLE_CLASSES)), F.lit("vehicle"))
+        .when(cls == PERSON_CLASS, F.lit("person"))
+        .when(F.lit(with_helmets) & (cls == helmet_class), F.lit("helmet"))
+    )
+    others = frame_boxes.select(*FRAME, "det_id", cls.alias("cls"), *BOX, kind.alias("kind")).filter(
+        F.col("kind").isNotNull()
+    )
     t = tracks.alias("t")
     o = others.alias("o")
     tb, ob = box(alias="t"), box(alias="o")
@@ -156,7 +158,7 @@ def frame_context(
     )
     label_candidate = F.when(
         is_vehicle & (pair_iou > F.lit(label_iou)),
-        F.struct(F.col("o.det_id").alias("d"), F.lower(F.col("o.class_name")).alias("c")),
+        F.struct(F.col("o.det_id").alias("d"), F.col("o.cls").alias("c")),
     )
     keys = [F.col(f"t.{c}").alias(c) for c in tracks.columns]
     out = t.join(o, cond, "inner").groupBy(*keys).agg(
@@ -165,7 +167,7 @@ def frame_context(
         F.max(F.col("o.kind") == "helmet").alias("_helmet"),
     )
     helmet_present = (
-        F.coalesce(F.col("_helmet"), F.lit(False)) if helmets is not None else F.lit(None).cast("boolean")
+        F.coalesce(F.col("_helmet"), F.lit(False)) if with_helmets else F.lit(None).cast("boolean")
     )
     return out.select(
         *tracks.columns,
@@ -258,11 +260,16 @@ def evaluate(
     tracks: DataFrame,
     frame_boxes: DataFrame,
     params: DetectionParams,
-    helmets: DataFrame | None,
+    with_helmets: bool,
 ) -> DataFrame:
-    """Tracks (vehicle boxes with ``track_id``) -> flags and violation text per row."""
-    ctx = frame_context(tracks, vehicles(frame_boxes), persons(frame_boxes), helmets, params.label_iou)
-    flagged = rule_flags(with_speed(ctx, params), params, helmets is not None)
+    """Tracks (vehicle boxes with ``track_id``) -> flags and violation text per row.
+
+    Speed is joined first on the thin track rows, then the frame context is
+    computed once on the result.
+    """
+    fast = with_speed(tracks, params).drop("cx", "cy", "prev_cx", "prev_cy")
+    ctx = frame_context(fast, frame_boxes, with_helmets, params.label_iou)
+    flagged = rule_flags(ctx, params, with_helmets)
     return flagged.withColumn("violations", violation_text())
 
 
@@ -293,11 +300,10 @@ def violations_table(evaluated: DataFrame, fps: float) -> DataFrame:
     )
 
 
-def totals(summary_df: DataFrame, violations_df: DataFrame) -> DataFrame:
-    """Violation rows, detection rows and distinct tracks."""
-    s = summary_df.agg(
+def totals(evaluated: DataFrame) -> DataFrame:
+    """Violation rows, detection rows and distinct tracks in one aggregate."""
+    return evaluated.agg(
+        F.count_if(F.col("violations") != "").alias("violation_rows"),
         F.count(F.lit(1)).alias("detection_rows"),
         F.count_distinct("video_id", "track_id").alias("distinct_tracks"),
     )
-    v = violations_df.agg(F.count(F.lit(1)).alias("violation_rows"))
-    return v.crossJoin(s)

@@ -15,6 +15,7 @@ from roadlens.operators import aggregates as agg
 from roadlens.operators import detections as dt
 from roadlens.operators import tracking as tk
 from roadlens.plans.oracle import DETECTIONS, with_views
+from roadlens.session import cut_lineage
 from roadlens.sources.adapters import raw_detections
 
 P = dt.DetectionParams()
@@ -26,7 +27,9 @@ KEYS = ["video_id", "frame_id", "track_id"]
 
 
 def det(s: SparkSession, d: str) -> DataFrame:
-    return raw_detections(s, d)
+    """The detections fixture, derived once per query and checkpointed: every
+    branch below (tracks, frame boxes, previous positions) reads the same rows."""
+    return cut_lineage(raw_detections(s, d))
 
 
 def proc(s, d):
@@ -42,10 +45,14 @@ def det_tracks(s, d):
     return vehs(s, d).withColumn("track_id", F.col("det_id").cast("bigint"))
 
 
-def evaluated(s, d, tracks=None):
+def evaluated(s, d, tracker=False):
     p = proc(s, d)
-    t = det_tracks(s, d) if tracks is None else tracks
-    return dt.evaluate(t, p, P, helmets=dt.helmet_boxes(p))
+    vehicles = dt.vehicles(p)
+    if tracker:
+        t = tk.track_ids(vehicles, P.frame_skip, P.iou_threshold)
+    else:
+        t = vehicles.withColumn("track_id", F.col("det_id").cast("bigint"))
+    return dt.evaluate(t, p, P, with_helmets=True)
 
 
 def tracked(s, d):
@@ -54,7 +61,14 @@ def tracked(s, d):
 
 def _ctx(s, d):
     p = proc(s, d)
-    return dt.frame_context(det_tracks(s, d), dt.vehicles(p), dt.persons(p), dt.helmet_boxes(p), P.label_iou)
+    tracks = dt.vehicles(p).withColumn("track_id", F.col("det_id").cast("bigint"))
+    return dt.frame_context(tracks, p, True, P.label_iou)
+
+
+def _with_helmets(s, d, join):
+    p = proc(s, d)
+    tracks = dt.vehicles(p).withColumn("track_id", F.col("det_id").cast("bigint"))
+    return join(tracks, dt.helmet_boxes(p)).select(*KEYS)
 
 
 def _violations(s, d):
@@ -67,7 +81,7 @@ def _summary(s, d):
 
 def detect_violations(s, d):
     """The whole chain with the real tracker (D11): violation rows."""
-    return dt.violations_table(evaluated(s, d, tracked(s, d)), P.fps)
+    return dt.violations_table(evaluated(s, d, tracker=True), P.fps)
 
 
 SPARK = {
@@ -79,8 +93,8 @@ SPARK = {
     "centroids": lambda s, d: dt.centroids(vehs(s, d)).select("video_id", "frame_id", "det_id", "cx", "cy"),
     "iou_pairs": lambda s, d: dt.iou_pairs(vehs(s, d), P.frame_skip),
     "track_label": lambda s, d: _ctx(s, d).select(*KEYS, "vehicle_type"),
-    "helmet_present": lambda s, d: dt.helmet_present(det_tracks(s, d), dt.helmet_boxes(proc(s, d))).select(*KEYS),
-    "no_helmet": lambda s, d: dt.no_helmet(det_tracks(s, d), dt.helmet_boxes(proc(s, d))).select(*KEYS),
+    "helmet_present": lambda s, d: _with_helmets(s, d, dt.helmet_present),
+    "no_helmet": lambda s, d: _with_helmets(s, d, dt.no_helmet),
     "triple_riding": lambda s, d: _ctx(s, d).select(
         *KEYS,
         "persons_overlapping",
@@ -100,7 +114,7 @@ SPARK = {
     "violation_mix": lambda s, d: agg.explode_count(_violations(s, d), "violation_type"),
     "violation_share": lambda s, d: agg.share(agg.explode_count(_violations(s, d), "violation_type")),
     "speed_histogram": lambda s, d: agg.histogram(_summary(s, d), "speed_kmph", 20),
-    "detection_totals": lambda s, d: dt.totals(_summary(s, d), _violations(s, d)),
+    "detection_totals": lambda s, d: dt.totals(evaluated(s, d)),
     # real tracker: rows-only in the driver, model-checked in pytest
     "track_ids": tracked,
     "track_history": lambda s, d: tk.track_history(tracked(s, d), P.frame_skip),

@@ -18,6 +18,7 @@ from roadlens.operators import features as ft
 from roadlens.operators import hotspots as hs
 from roadlens.operators import report as rp
 from roadlens.plans.oracle import VIOLATIONS, with_views
+from roadlens.session import cut_lineage
 from roadlens.sources.adapters import raw_violations
 
 # --------------------------------------------------------------------------
@@ -42,13 +43,25 @@ def located(spark: SparkSession, d: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
-    return hs.cell_profile(located(spark, d))
+    """The (cell, type, hour) counts: the one pass over the rows, checkpointed
+    so that every hotspot step after it reads the small table."""
+    return cut_lineage(hs.cell_profile(located(spark, d)))
 
 
 def spots(spark: SparkSession, d: str) -> DataFrame:
     return hs.hotspots(hs.cell_counts(profile(spark, d)))
 
 
+def _on_spots(step):
+    """Builder running ``step(profile, hotspots)`` on one shared profile."""
+
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        prof = profile(spark, d)
+        return step(prof, hs.hotspots(hs.cell_counts(prof)))
+
+    return build
+
+
 def _round_cols(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -126,12 +139,12 @@ SPARK = {
     "hotspot_rows": lambda s, d: hs.hotspot_rows(located(s, d), spots(s, d)).select(
         "Violation_ID", "lat_cell", "lon_cell", "Violation_Type", "hour", "violation_count", "z_score"
     ),
-    "hotspot_type_counts": lambda s, d: hs.hotspot_type_counts(profile(s, d), spots(s, d)),
-    "hotspot_hour_counts": lambda s, d: hs.hotspot_hour_counts(profile(s, d), spots(s, d)),
-    "top_violation": lambda s, d: hs.top_violation(profile(s, d), spots(s, d)),
-    "hotspot_peak_hour": lambda s, d: hs.peak_hour(profile(s, d), spots(s, d)),
-    "structured_hotspots": lambda s, d: hs.structured_hotspots(profile(s, d), spots(s, d)),
-    "combined_hotspots": lambda s, d: hs.combined_hotspots(profile(s, d), spots(s, d)),
+    "hotspot_type_counts": _on_spots(hs.hotspot_type_counts),
+    "hotspot_hour_counts": _on_spots(hs.hotspot_hour_counts),
+    "top_violation": _on_spots(hs.top_violation),
+    "hotspot_peak_hour": _on_spots(hs.peak_hour),
+    "structured_hotspots": _on_spots(hs.structured_hotspots),
+    "combined_hotspots": _on_spots(hs.combined_hotspots),
     # dashboard
     "filter_report": lambda s, d: _report_rows(s, d).select(
         "Violation_ID", "Timestamp", "Location", "Violation_Type", "Severity", "Fine_Amount"
