@@ -46,15 +46,20 @@ def iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class VideoTracker:
     """State of one video: the previous processed frame's tracks."""
 
-    __slots__ = ("frame_skip", "threshold", "last_frame", "ids", "boxes", "next_id")
+    __slots__ = ("frame_skip", "threshold", "last_frame", "ids", "boxes", "next_id", "watch", "conflict")
 
-    def __init__(self, frame_skip: int, threshold: float):
+    def __init__(self, frame_skip: int, threshold: float, watch_inherited: bool = False):
         self.frame_skip = frame_skip
         self.threshold = threshold
         self.last_frame: int | None = None
         self.ids = np.empty(0, dtype=np.int64)
         self.boxes = np.empty((0, 4), dtype=np.int64)
         self.next_id = 0
+        # Chunked tracking: tracks with negative ids were inherited from a
+        # previous chunk in an assumed order; flag any frame whose result
+        # could depend on that order.
+        self.watch = watch_inherited
+        self.conflict = False
 
     def update(self, frame_id: int, boxes: np.ndarray) -> np.ndarray:
         """Assign track ids to ``boxes`` (in box order) of processed frame ``frame_id``."""
@@ -63,10 +68,12 @@ class VideoTracker:
             self.ids = self.ids[:0]
             self.boxes = self.boxes[:0]
         n = len(boxes)
-        assigned = np.full(n, -1, dtype=np.int64)
+        assigned = np.zeros(n, dtype=np.int64)
+        taken = np.zeros(n, dtype=bool)
         if len(self.ids) and n:
             ious = iou_matrix(self.boxes, boxes)
-            taken = np.zeros(n, dtype=bool)
+            if self.watch and not self.conflict:
+                self.conflict = self._order_matters(ious)
             for t in range(len(self.ids)):  # ids are kept in ascending order
                 row = np.where(taken, -1.0, ious[t])
                 best = int(np.argmax(row))
@@ -74,7 +81,7 @@ class VideoTracker:
                 if best_iou > 0 and best_iou >= self.threshold:
                     taken[best] = True
                     assigned[best] = self.ids[t]
-        fresh = assigned < 0
+        fresh = ~taken
         k = int(fresh.sum())
         assigned[fresh] = np.arange(self.next_id, self.next_id + k, dtype=np.int64)
         self.next_id += k
@@ -84,6 +91,23 @@ class VideoTracker:
         self.last_frame = frame_id
         return assigned
 
+    def _order_matters(self, ious: np.ndarray) -> bool:
+        """True when inherited tracks could compete for the same box.
+
+        Inherited tracks are matched before every other track. Those whose best
+        IoU reaches the threshold each take their own best box in any order as
+        long as those best boxes are distinct; the others take nothing in any
+        order. So distinct best boxes make the frame order-independent.
+        """
+        inherited = self.ids < 0
+        if int(inherited.sum()) < 2:
+            return False
+        sub = ious[inherited]
+        best = sub.argmax(axis=1)
+        val = sub[np.arange(len(sub)), best]
+        active = best[(val > 0) & (val >= self.threshold)]
+        return len(np.unique(active)) != len(active)
+
 
 def _frame_bounds(videos: np.ndarray, frames: np.ndarray) -> np.ndarray:
     """Start offsets of each (video, frame) run in sorted arrays, plus the end."""

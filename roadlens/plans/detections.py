@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from roadlens.operators import aggregates as agg
 from roadlens.operators import detections as dt
 from roadlens.operators import tracking as tk
+from roadlens.operators.chunked_tracking import track_ids_chunked
 from roadlens.plans.oracle import DETECTIONS, with_views
 from roadlens.session import cut_lineage
 from roadlens.sources.adapters import raw_detections
 
 P = dt.DetectionParams()
 KEYS = ["video_id", "frame_id", "track_id"]
+# Processed frames per tracker chunk in the registered queries: small enough
+# that the test scales split every video into several chunks.
+CHUNK_FRAMES = 256
 
 # --------------------------------------------------------------------------
 # Spark side
@@ -49,13 +53,17 @@ def evaluated(s, d, tracker=False):
     p = proc(s, d)
     vehicles = dt.vehicles(p)
     if tracker:
-        t = tk.track_ids(vehicles, P.frame_skip, P.iou_threshold)
+        t = track_ids_chunked(vehicles, P.frame_skip, P.iou_threshold, CHUNK_FRAMES)
     else:
         t = vehicles.withColumn("track_id", F.col("det_id").cast("bigint"))
     return dt.evaluate(t, p, P, with_helmets=True)
 
 
 def tracked(s, d):
+    return track_ids_chunked(vehs(s, d), P.frame_skip, P.iou_threshold, CHUNK_FRAMES)
+
+
+def tracked_sequential(s, d):
     return tk.track_ids(vehs(s, d), P.frame_skip, P.iou_threshold)
 
 
@@ -117,6 +125,7 @@ SPARK = {
     "detection_totals": lambda s, d: dt.totals(evaluated(s, d)),
     # real tracker: rows-only in the driver, model-checked in pytest
     "track_ids": tracked,
+    "track_ids_sequential": tracked_sequential,
     "track_history": lambda s, d: tk.track_history(tracked(s, d), P.frame_skip),
     "detect_violations": detect_violations,
 }

@@ -133,3 +133,38 @@ def test_iou_properties(a, b):
     assert m == iou_matrix(np.array([b]), np.array([a]))[0, 0]
     if (a[2] - a[0]) > 0 and (a[3] - a[1]) > 0:
         assert iou_matrix(np.array([a]), np.array([a]))[0, 0] == 1.0
+
+
+def crowded_video(rng, n_frames, skip):
+    """Overlapping boxes that compete for the same match (exercises re-runs)."""
+    frames = {}
+    objs = [[rng.randint(0, 40), rng.randint(0, 40)] for _ in range(6)]
+    for f in range(0, n_frames * skip, skip):
+        if rng.random() < 0.05:
+            continue
+        boxes = []
+        for o in objs:
+            o[0] += rng.randint(-4, 4)
+            o[1] += rng.randint(-4, 4)
+            if rng.random() < 0.9:
+                boxes.append((o[0], o[1], o[0] + rng.randint(20, 40), o[1] + rng.randint(20, 40)))
+        if boxes:
+            frames[f] = boxes
+    return frames
+
+
+@pytest.mark.parametrize("seed,chunk,rounds", [(11, 3, 8), (12, 5, 8), (13, 4, 1), (14, 7, 0)])
+def test_chunked_tracker_matches_model(spark, seed, chunk, rounds):
+    from roadlens.operators.chunked_tracking import track_ids_chunked
+
+    rng = random.Random(seed)
+    skip, thr = 2, 0.3
+    videos = {v: (crowded_video(rng, 50, skip) if v % 2 else random_video(rng, 50, skip)) for v in range(4)}
+    df = spark.createDataFrame(to_rows(videos), DETECTIONS)
+    got = {(r.video_id, r.frame_id, r.det_id): r.track_id
+           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk, max_rounds=rounds).collect()}
+    want = {}
+    for v, frames in videos.items():
+        for (f, i), tid in model_track(frames, skip, thr).items():
+            want[(v, f, i)] = tid
+    assert got == want
