@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.operators.joins import sized_broadcast
+from roadlens.operators.joins import join_small
+from roadlens.session import cut_lineage
 
 CELL = ["lat_cell", "lon_cell"]
 
@@ -67,10 +68,10 @@ def hotspot_rows(rows: DataFrame, spots: DataFrame, max_broadcast_rows: int = 1_
     """Violation rows that fall in a hotspot cell, with the cell's figures.
 
     The hotspot side is broadcast only after its row count is checked; above
-    the limit the join is left to a shuffle join.
+    the limit the join is a salted shuffle join, so a hot cell is spread over
+    many tasks.
     """
-    small = sized_broadcast(spots, max_broadcast_rows)
-    return rows.join(small, CELL, "inner")
+    return join_small(rows, spots, CELL, "inner", max_broadcast_rows)
 
 
 def _in_hotspots(profile: DataFrame, spots: DataFrame) -> DataFrame:
@@ -133,8 +134,12 @@ def combined_hotspots(profile: DataFrame, spots: DataFrame) -> DataFrame:
 
 
 def hotspot_report(rows: DataFrame, z_threshold: float = 1.0) -> dict[str, DataFrame]:
-    """Every hotspot output from one pass over ``rows`` (cell profile computed once)."""
-    profile = cell_profile(rows)
+    """Every hotspot output from one pass over ``rows``.
+
+    The cell profile is checkpointed, so the rows are read and shuffled once and
+    every output below reads the small table.
+    """
+    profile = cut_lineage(cell_profile(rows))
     counts = cell_counts(profile)
     spots = hotspots(counts, z_threshold)
     return {

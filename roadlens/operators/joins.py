@@ -1,20 +1,60 @@
-"""Join helpers: broadcast only behind a checked size."""
+"""Join helpers: broadcast only behind a checked size; salt joins on hot keys."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.session import cut_lineage
 
+DEFAULT_SALT_BUCKETS = 32
+
 
-def sized_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
-    """Return ``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small``.
+def sized_broadcast(small: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Checkpoint ``small`` and report whether it has at most ``max_rows`` rows.
 
     ``small`` is checkpointed into ``spark.checkpoint.dir`` first, so the size
     check and the join read the same materialised rows and the lineage above
     it is cut.
     """
     saved = cut_lineage(small)
-    n = saved.limit(max_rows + 1).count()
-    return F.broadcast(saved) if n <= max_rows else saved
+    return saved, saved.limit(max_rows + 1).count() <= max_rows
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_from: Sequence[str] | None = None,
+) -> DataFrame:
+    """Equi-join where one key may hold a large share of ``big``.
+
+    Every ``small`` row is repeated ``buckets`` times (salt 0..buckets-1) and
+    every ``big`` row gets one salt from a hash of ``salt_from`` (default: all
+    its columns), so a hot key is spread over ``buckets`` tasks. The salt is a
+    pure function of the row, so a retried task sees the same split.
+    """
+    cols = list(salt_from) if salt_from else big.columns
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets))
+    b = big.withColumn("_salt", salt)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
+    return b.join(s, [*on, "_salt"], how).drop("_salt")
+
+
+def join_small(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    max_broadcast_rows: int = 1_000_000,
+    buckets: int = DEFAULT_SALT_BUCKETS,
+) -> DataFrame:
+    """Broadcast join when ``small`` is checked to be small, else a salted shuffle join."""
+    saved, fits = sized_broadcast(small, max_broadcast_rows)
+    if fits:
+        return big.join(F.broadcast(saved), list(on), how)
+    return salted_join(big, saved, on, how, buckets)

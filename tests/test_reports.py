@@ -174,3 +174,30 @@ def test_kmeans_invariants(spark, sf_dir):
         d = [(a["Latitude"] - x) ** 2 + (a["Longitude"] - y) ** 2 for x, y in centers]
         assert d[a["cluster"]] == pytest.approx(min(d))
     assert per == counts
+
+
+def test_hotspot_rows_salted_path_equals_broadcast(spark, sf_dir):
+    rows = pv.located(spark, sf_dir)
+    spots = pv.spots(spark, sf_dir)
+    a = sorted(hs.hotspot_rows(rows, spots).collect())
+    b = sorted(hs.hotspot_rows(rows, spots, max_broadcast_rows=0).collect())
+    assert a == b and len(a) > 0
+
+
+def test_hotspot_report_outputs(spark, sf_dir):
+    out = hs.hotspot_report(pv.located(spark, sf_dir))
+    assert set(out) == {"cell_counts", "hotspots", "top_violation", "peak_hour",
+                        "structured_hotspots", "combined_hotspots"}
+    assert out["combined_hotspots"].count() == out["hotspots"].count()
+
+
+def test_track_history_counts_up(spark, sf_dir):
+    from roadlens.plans import detections as pd_
+
+    hist = pd_.SPARK["track_history"](spark, sf_dir).collect()
+    by_track = {}
+    for h in hist:
+        by_track.setdefault((h["video_id"], h["track_id"]), []).append((h["frame_id"], h["history_len"]))
+    for points in by_track.values():
+        points.sort()
+        assert [n for _, n in points] == list(range(1, len(points) + 1))
