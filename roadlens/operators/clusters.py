@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,3 +81,22 @@ def cluster_centers(spark: SparkSession, model: PipelineModel,
         + [T.StructField(f"center_{c}", T.DoubleType(), False) for c in cols]
     )
     return spark.createDataFrame(rows, schema)
+
+
+def fit_array_clusters(df: DataFrame, array_col: str, k: int = 5, seed: int = 42, max_iter: int = 20):
+    """K-means over an ``array<float|double>`` column (e.g. embeddings).
+
+    The vectors are checkpointed once so the iterations do not re-read and
+    re-convert the source. Returns ``(model, vectors)``.
+    """
+    vectors = cut_lineage(
+        df.filter(F.col(array_col).isNotNull()).select("*", array_to_vector(array_col).alias("features"))
+    )
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(vectors)
+    return model, vectors
+
+
+def array_cluster_counts(df: DataFrame, array_col: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """Rows per cluster for K-means over an array column."""
+    model, vectors = fit_array_clusters(df, array_col, k, seed)
+    return model.transform(vectors).groupBy("cluster").agg(F.count(F.lit(1)).alias("row_count"))

@@ -20,6 +20,10 @@ SPARK = {
     "cluster_rows": lambda s, d: ck.cluster_rows(_model(s, d), pv.located(s, d)).select(
         "Violation_ID", "Latitude", "Longitude", "cluster"
     ),
+    # the same K-means over the driver's embeddings table (array<float> vectors)
+    "embedding_cluster_counts": lambda s, d: ck.array_cluster_counts(
+        s.read.parquet(f"{d.rstrip('/')}/embeddings.parquet"), "embedding", k=K, seed=SEED
+    ),
 }
 
 SQL: dict[str, str] = {}

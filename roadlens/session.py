@@ -15,26 +15,31 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    When the session names none, a folder under ``spark.sql.warehouse.dir``
+    (the session's shared table storage) is set and used.
+    """
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError(
-            f"{CHECKPOINT_CONF} is not set; point it at a folder every executor can reach"
-        )
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        root = ensure_checkpoint_dir(spark, f"{warehouse}/_checkpoints")
     return root.rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession, default: str) -> str:
-    """Set ``spark.checkpoint.dir`` to ``default`` only where it is unset (tests)."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    """Use ``default`` as the checkpoint folder only where none is set (tests).
+
+    ``spark.checkpoint.dir`` cannot change on a running session, so the
+    fallback goes through ``SparkContext.setCheckpointDir``.
+    """
+    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
-        spark.conf.set(CHECKPOINT_CONF, default)
-        spark.sparkContext.setCheckpointDir(default)
+        sc.setCheckpointDir(default)
         root = default
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

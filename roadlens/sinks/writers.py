@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
@@ -62,6 +63,16 @@ def write_result(
             df.unpersist()
 
 
+def write_clean_by_month(df: DataFrame, path: str, ts: str = "Timestamp", mode: str = "overwrite") -> str:
+    """Cleaned rows as Parquet partitioned by ``event_month`` (first day of the month).
+
+    With a real timestamp column and month folders, a later date-range filter
+    is pushed to the Parquet reader and whole months are pruned by directory.
+    """
+    month = F.trunc(F.col(ts).cast("date"), "month").alias("event_month")
+    return write_parquet(df.select("*", month), path, mode=mode, partition_by=["event_month"])
+
+
 def write_quarantine(bad: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Rejected rows with their ``reason`` as Parquet (replaces count-and-drop)."""
     return write_parquet(bad, path, mode=mode)

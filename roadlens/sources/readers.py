@@ -33,6 +33,21 @@ def scan_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None =
     return df.select(*columns) if columns else df
 
 
+def read_clean_by_month(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """Month-partitioned cleaned rows; ``start``/``end`` (inclusive dates) prune
+    month folders and push the timestamp range into the Parquet scan."""
+    df = spark.read.parquet(path)
+    if start is not None:
+        lo = F.lit(str(start)[:10]).cast("date")
+        df = df.filter((F.col("event_month") >= F.trunc(lo, "month"))
+                       & (F.col("Timestamp") >= lo.cast("timestamp_ntz")))
+    if end is not None:
+        hi = F.lit(str(end)[:10]).cast("date")
+        df = df.filter((F.col("event_month") <= F.trunc(hi, "month"))
+                       & (F.col("Timestamp") < F.date_add(hi, 1).cast("timestamp_ntz")))
+    return df
+
+
 def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines violations.
 

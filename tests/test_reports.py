@@ -201,3 +201,13 @@ def test_track_history_counts_up(spark, sf_dir):
     for points in by_track.values():
         points.sort()
         assert [n for _, n in points] == list(range(1, len(points) + 1))
+
+
+def test_month_partitions_prune(spark, sf_dir):
+    clean = pv.clean(spark, sf_dir)
+    path = w.write_clean_by_month(clean, scratch_path(spark, "by-month"))
+    df = r.read_clean_by_month(spark, path, "2024-01-05", "2024-01-10")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan and "PushedFilters: [IsNotNull(Timestamp)" in plan
+    want = clean.filter((F.col("Timestamp") >= "2024-01-05") & (F.col("Timestamp") < "2024-01-11")).count()
+    assert df.count() == want > 0
