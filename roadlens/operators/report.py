@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.cleaning import SEVERE_LEVELS, is_severe
-from roadlens.operators.aggregates import top_value
 from roadlens.operators.features import normalize_type
 
 ALL = "All"
@@ -49,17 +48,21 @@ def filter_report(
         df = df.filter(F.col("Violation_Type") == F.lit(vtype))
     if severity not in (None, ALL):
         df = df.filter(F.col("Severity") == F.lit(severity))
-    if start is None or end is None:
-        day = lambda c: F.to_date(c).cast("timestamp_ntz")
-        bounds = df.agg(F.struct(day(F.min(ts)).alias("lo"), day(F.max(ts)).alias("hi"))).scalar()
-    lo = bounds.getField("lo") if start is None else _day_start(start)
-    hi = bounds.getField("hi") if end is None else _day_start(end)
+    # Without a start date the range starts at the first day's midnight, which
+    # every row satisfies, so only the end needs the data (one scalar subquery).
+    lo = None if start is None else _day_start(start)
+    if end is None:
+        hi = df.agg(F.to_date(F.max(ts)).cast("timestamp_ntz")).scalar()
+    else:
+        hi = _day_start(end)
     if end_mode == "midnight":
-        keep = (F.col(ts) >= lo) & (F.col(ts) <= hi)
+        keep = F.col(ts) <= hi
     elif end_mode == "whole_day":
-        keep = (F.col(ts) >= lo) & (F.col(ts) < F.timestamp_add("DAY", F.lit(1), hi))
+        keep = F.col(ts) < F.timestamp_add("DAY", F.lit(1), hi)
     else:
         raise ValueError(f"unknown end_mode {end_mode!r}")
+    if lo is not None:
+        keep = (F.col(ts) >= lo) & keep
     return df.filter(keep)
 
 
@@ -71,20 +74,30 @@ def severe_count(df: DataFrame, levels=SEVERE_LEVELS) -> DataFrame:
 def key_figures(df: DataFrame) -> DataFrame:
     """One row: total, most common type, peak hour, top place, severe count.
 
-    Empty input gives zeros and nulls (the reference shows ``N/A``).
+    One pass: ``GROUPING SETS ((type), (hour), (place), ())`` counts every
+    figure's groups in a single scan and shuffle, then one global aggregate
+    picks each mode (ties -> smallest value). Empty input gives zeros and
+    nulls (the reference shows ``N/A``).
     """
-    totals = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(is_severe("Severity")).alias("severe_count"),
+    vt, hr, loc = "Violation_Type", "hour", "Location"
+    g = df.groupingSets([[vt], [hr], [loc], []], vt, hr, loc).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(is_severe("Severity")).alias("severe"),
+        F.grouping_id().alias("gid"),
     )
-    mode_type = top_value(df, "Violation_Type", "most_common_type").select("most_common_type")
-    peak = top_value(df, "hour", "peak_hour").select("peak_hour")
-    place = top_value(df, "Location", "top_location").select("top_location")
-    return (
-        totals.crossJoin(mode_type)
-        .crossJoin(peak)
-        .crossJoin(place)
-        .select("total_records", "most_common_type", "peak_hour", "top_location", "severe_count")
+    # grouping_id bits are (type, hour, place); a set bit = not grouped
+    only_type, only_hour, only_place, total = 0b011, 0b101, 0b110, 0b111
+
+    def mode(col: str, gid: int):
+        pick = F.when((F.col("gid") == gid) & F.col(col).isNotNull(), F.struct((-F.col("n")).alias("k"), F.col(col).alias("v")))
+        return F.min(pick).getField("v")
+
+    return g.agg(
+        F.coalesce(F.max(F.when(F.col("gid") == total, F.col("n"))), F.lit(0)).alias("total_records"),
+        mode(vt, only_type).alias("most_common_type"),
+        mode(hr, only_hour).alias("peak_hour"),
+        mode(loc, only_place).alias("top_location"),
+        F.coalesce(F.max(F.when(F.col("gid") == total, F.col("severe"))), F.lit(0)).alias("severe_count"),
     )
 
 
