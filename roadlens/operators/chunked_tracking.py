@@ -42,6 +42,7 @@ _COLS = [f.name for f in TRACKED.fields if f.name != "track_id"]
 SPEC = T.StructType(
     [*[TRACKED[c] for c in _COLS],
      T.StructField("chunk", T.LongType()),
+     T.StructField("_span", T.LongType()),
      T.StructField("local_id", T.LongType()),
      T.StructField("births", T.LongType()),
      T.StructField("conflict", T.BooleanType())]
@@ -88,7 +89,7 @@ def _run_chunk(frame_skip: int, threshold: float, speculative: bool):
             local[s:e] = tr.update(int(frames[s]), boxes[s:e])
         inherited = local < 0
         local[inherited] = -(decode[local[inherited] + n_seeds] + 1)
-        out = rows[_COLS + ["chunk"]].assign(local_id=local, births=tr.next_id, conflict=bool(tr.conflict))
+        out = rows[_COLS + ["chunk", "_span"]].assign(local_id=local, births=tr.next_id, conflict=bool(tr.conflict))
         return out
 
     return run
@@ -138,21 +139,28 @@ def track_ids_chunked(
     iou_threshold: float = 0.3,
     chunk_frames: int = 1024,
     max_rounds: int = 8,
+    max_chunks_per_video: int | None = 100_000,
 ) -> DataFrame:
     """Same rows and ids as :func:`track_ids`, computed over frame ranges.
 
-    ``chunk_frames`` processed frames per chunk bound the rows any one Python
-    task sees. Input frame ids must be multiples of ``frame_skip`` (sampled).
-    Runs small Spark jobs eagerly (stitching rounds); the result is checkpointed.
+    A chunk holds ``chunk_frames`` processed frames, or more when the longest
+    video would need over ``max_chunks_per_video`` chunks: that caps the
+    per-video boundary list the stitch pass walks. Input frame ids must be
+    multiples of ``frame_skip`` (sampled). Runs small Spark jobs eagerly
+    (stitching rounds); the chunk results are checkpointed.
     """
     skip, thr = int(frame_skip), float(iou_threshold)
-    span = int(chunk_frames) * skip
-    last_slot = span - skip
     src = vehicle_boxes.select(*[F.col(c).cast(TRACKED[c].dataType) for c in _COLS])
-    base = src.withColumn("chunk", F.floor(F.col("frame_id") / F.lit(span)).cast("bigint"))
-    seeds = base.filter(F.col("frame_id") % F.lit(span) == F.lit(last_slot)).withColumn(
-        "chunk", F.col("chunk") + 1
-    )
+    per_chunk = F.lit(int(chunk_frames))
+    if max_chunks_per_video:
+        # The longest video sets one span for all (a one-row scalar subquery).
+        frames = F.floor(F.max("frame_id") / F.lit(skip)) + 1
+        longest = src.agg(F.ceil(frames / F.lit(int(max_chunks_per_video)))).scalar()
+        per_chunk = F.greatest(per_chunk, F.coalesce(longest, F.lit(1)))
+    src = src.withColumn("_span", (per_chunk * F.lit(skip)).cast("bigint"))
+    span, last_slot = F.col("_span"), F.col("_span") - F.lit(skip)
+    base = src.withColumn("chunk", F.floor(F.col("frame_id") / span).cast("bigint"))
+    seeds = base.filter(F.col("frame_id") % span == last_slot).withColumn("chunk", F.col("chunk") + 1)
     plain = base.withColumn("_seed", F.lit(False)).withColumn("_rank", F.lit(None).cast("bigint"))
     groups = plain.unionByName(seeds.withColumn("_seed", F.lit(True)).withColumn("_rank", F.lit(None).cast("bigint")))
     spec = cut_lineage(
@@ -162,7 +170,7 @@ def track_ids_chunked(
     keys = ["video_id", "chunk"]
     for round_no in range(max_rounds + 1):
         stats = spec.groupBy(*keys).agg(F.max("births").alias("births"), F.max("conflict").alias("conflict"))
-        last = spec.filter(F.col("frame_id") % F.lit(span) == F.lit(last_slot)).select(
+        last = spec.filter(F.col("frame_id") % span == last_slot).select(
             *keys, "det_id", "local_id"
         )
         stitched = cut_lineage(
@@ -199,5 +207,5 @@ def track_ids_chunked(
         )
         .select(*TRACKED.names)
     )
-    fallback = track_ids(src.join(stuck, "video_id", "left_semi"), skip, thr)
+    fallback = track_ids(src.drop("_span").join(stuck, "video_id", "left_semi"), skip, thr)
     return done.unionByName(fallback)

@@ -153,8 +153,10 @@ def crowded_video(rng, n_frames, skip):
     return frames
 
 
-@pytest.mark.parametrize("seed,chunk,rounds", [(11, 3, 8), (12, 5, 8), (13, 4, 1), (14, 7, 0)])
-def test_chunked_tracker_matches_model(spark, seed, chunk, rounds):
+@pytest.mark.parametrize(
+    "seed,chunk,rounds,max_chunks", [(11, 3, 8, None), (12, 5, 8, 100), (13, 4, 1, 4), (14, 7, 0, None)]
+)
+def test_chunked_tracker_matches_model(spark, seed, chunk, rounds, max_chunks):
     from roadlens.operators.chunked_tracking import track_ids_chunked
 
     rng = random.Random(seed)
@@ -162,7 +164,8 @@ def test_chunked_tracker_matches_model(spark, seed, chunk, rounds):
     videos = {v: (crowded_video(rng, 50, skip) if v % 2 else random_video(rng, 50, skip)) for v in range(4)}
     df = spark.createDataFrame(to_rows(videos), DETECTIONS)
     got = {(r.video_id, r.frame_id, r.det_id): r.track_id
-           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk, max_rounds=rounds).collect()}
+           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk, max_rounds=rounds,
+                                                max_chunks_per_video=max_chunks).collect()}
     want = {}
     for v, frames in videos.items():
         for (f, i), tid in model_track(frames, skip, thr).items():
