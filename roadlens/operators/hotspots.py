@@ -141,7 +141,7 @@ def hotspot_report(rows: DataFrame, z_threshold: float = 1.0) -> dict[str, DataF
     """
     profile = cut_lineage(cell_profile(rows))
     counts = cell_counts(profile)
-    spots = hotspots(counts, z_threshold)
+    spots = cut_lineage(hotspots(counts, z_threshold))
     return {
         "cell_counts": counts,
         "hotspots": spots,

@@ -57,7 +57,8 @@ def _on_spots(step):
 
     def build(spark: SparkSession, d: str) -> DataFrame:
         prof = profile(spark, d)
-        return step(prof, hs.hotspots(hs.cell_counts(prof)))
+        # the hotspot set (at most one row per cell) is used several times
+        return step(prof, cut_lineage(hs.hotspots(hs.cell_counts(prof))))
 
     return build
 
