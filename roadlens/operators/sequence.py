@@ -2,10 +2,10 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY id)`` sends a whole group to a
 single task. When ``id`` is a unique integer, rows can instead be cut into
-id buckets of at most ``bucket_width`` rows: each (group, bucket) is ranked
-on its own, and a prefix sum of bucket sizes (a small table) gives the
-offset. Result: the same numbers, no group larger than a bucket in one task,
-and nothing that depends on how the input happens to be partitioned.
+id-range buckets: each (group, bucket) is ranked on its own, and a prefix
+sum of bucket sizes (a small table) gives the offset. Result: the same
+numbers, no group larger than a bucket in one task, and nothing that
+depends on how the input happens to be partitioned.
 """
 
 from __future__ import annotations
@@ -23,15 +23,23 @@ def row_number_by_unique_id(
     group_cols: Sequence[str],
     id_col: str,
     out: str = "rn",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_rows: int = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
     """Add ``out`` = 0-based rank of ``id_col`` within ``group_cols``.
 
     ``id_col`` must be a unique, non-null integer column (e.g. an event id).
+    Buckets are id ranges sized so that there are about ``rows / bucket_rows``
+    of them (one-row scalar subquery over the ids); with dense ids a bucket
+    holds at most ``bucket_rows`` rows.
     """
     groups = list(group_cols)
-    bucket = F.floor(F.col(id_col) / F.lit(bucket_width)).alias("_bucket")
-    tagged = df.withColumn("_bucket", bucket)
+    ids = F.col(id_col)
+    stats = df.agg(
+        F.struct(F.min(ids).alias("lo"), F.max(ids).alias("hi"), F.count(F.lit(1)).alias("n"))
+    ).scalar()
+    n_buckets = F.greatest(F.lit(1), F.ceil(stats.getField("n") / F.lit(bucket_rows)))
+    width = F.greatest(F.lit(1), F.ceil((stats.getField("hi") - stats.getField("lo") + 1) / n_buckets))
+    tagged = df.withColumn("_bucket", F.floor((ids - stats.getField("lo")) / width).cast("bigint"))
 
     sizes = tagged.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(

@@ -88,3 +88,18 @@ def test_time_features_sunday_is_one(spark):
     df = ft.time_features(cl.clean_violations(raw(spark)))
     row = df.filter(F.col("Violation_ID") == "i").first()  # 2024-01-13 is a Saturday
     assert (row["hour"], row["day_of_week"], row["month"]) == (10, 7, 1)
+
+
+def test_row_numbers_match_window(spark):
+    from pyspark.sql import Window
+
+    from roadlens.operators.sequence import row_number_by_unique_id
+
+    # sparse, unevenly spread ids in a few groups, one group much larger
+    rows = [(i * 7919 % 1000003 * 13, 0 if i % 3 else i % 4) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, g bigint")
+    got = row_number_by_unique_id(df, ["g"], "id", bucket_rows=50)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
+    assert sorted(got.select("id", "g", "rn").collect()) == sorted(
+        want.select("id", "g", F.col("rn").cast("bigint")).collect()
+    )
