@@ -261,12 +261,20 @@ def evaluate(
     frame_boxes: DataFrame,
     params: DetectionParams,
     with_helmets: bool,
+    helmets: DataFrame | None = None,
 ) -> DataFrame:
     """Tracks (vehicle boxes with ``track_id``) -> flags and violation text per row.
 
+    Helmet boxes are the ``helmet`` class of ``frame_boxes``, or, as with the
+    reference's separate helmet model, a separate ``helmets`` table (same
+    columns) that is filtered by confidence and frame sampling like the rest.
     Speed is joined first on the thin track rows, then the frame context is
     computed once on the result.
     """
+    if helmets is not None:
+        extra = processed(helmets, params).withColumn("class_name", F.lit("helmet"))
+        frame_boxes = frame_boxes.unionByName(extra.select(*frame_boxes.columns))
+        with_helmets = True
     fast = with_speed(tracks, params).drop("cx", "cy", "prev_cx", "prev_cy")
     ctx = frame_context(fast, frame_boxes, with_helmets, params.label_iou)
     flagged = rule_flags(ctx, params, with_helmets)

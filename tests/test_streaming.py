@@ -81,3 +81,4 @@ def test_track_stream_in_order_equals_batch(spark, sf_dir):
     got = spark.table(name)
     batch = track_ids(vehs.subtract(rest), 2, 0.3)
     assert sorted(got.collect()) == sorted(batch.collect())
+
