@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's behaviour:
-# a fine is valid only when it matches this pattern (no sign, no exponent);
-# timestamps are tried in this order, so dd/MM wins over MM/dd.
+# Fixed values that must equal the reference's behaviour: a fine is valid
+# only when it matches this pattern (no sign, no exponent); timestamps are
+# tried in this order, so dd/MM wins over MM/dd; these severities count as
+# severe.
 FINE_PATTERN = r"^[0-9]+(\.[0-9]+)?$"
 ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss")

@@ -32,7 +32,12 @@ BOX = ["x1", "y1", "x2", "y2"]
 
 @dataclass(frozen=True)
 class DetectionParams:
-    """Defaults are the reference's UI defaults."""
+    """Detection parameters.
+
+    Fixed values that must equal the reference's behaviour: the defaults
+    below are its defaults (fallback fps 25, 0.05 m per pixel, 60 km/h limit,
+    confidence 0.35, tracker IoU 0.3, every 2nd frame, label IoU above 0.5).
+    """
 
     fps: float = 25.0
     meters_per_pixel: float = 0.05

@@ -6,6 +6,7 @@ from __future__ import annotations
 from roadlens.operators import clusters as ck
 from roadlens.plans import violations as pv
 
+# Fixed values that must equal the reference's behaviour: five clusters, seed 42.
 K = 5
 SEED = 42
 

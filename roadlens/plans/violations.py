@@ -38,8 +38,15 @@ def timed(spark: SparkSession, d: str) -> DataFrame:
     return ft.time_features(clean(spark, d))
 
 
+# Fixed values that must equal the reference's behaviour: 20-degree grid
+# cells (truncating), hotspots at z above 1, the top 10 places.
+GRID_SIZE = 20.0
+Z_THRESHOLD = 1.0
+TOP_PLACES = 10
+
+
 def located(spark: SparkSession, d: str) -> DataFrame:
-    return ft.with_grid_cells(ft.with_coordinates(timed(spark, d)), 20.0, "trunc")
+    return ft.with_grid_cells(ft.with_coordinates(timed(spark, d)), GRID_SIZE, "trunc")
 
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +56,7 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spots(spark: SparkSession, d: str) -> DataFrame:
-    return hs.hotspots(hs.cell_counts(profile(spark, d)))
+    return hs.hotspots(hs.cell_counts(profile(spark, d)), Z_THRESHOLD)
 
 
 def _on_spots(step):
@@ -58,7 +65,7 @@ def _on_spots(step):
     def build(spark: SparkSession, d: str) -> DataFrame:
         prof = profile(spark, d)
         # the hotspot set (at most one row per cell) is used several times
-        return step(prof, cut_lineage(hs.hotspots(hs.cell_counts(prof))))
+        return step(prof, cut_lineage(hs.hotspots(hs.cell_counts(prof), Z_THRESHOLD)))
 
     return build
 
@@ -116,7 +123,7 @@ SPARK = {
     "by_vehicle": lambda s, d: agg.count_by(clean(s, d), "Vehicle_Type"),
     "by_location": lambda s, d: agg.count_by(clean(s, d), "Location", "Total_Violations"),
     "top_locations": lambda s, d: agg.top_n(
-        agg.count_by(clean(s, d), "Location", "Total_Violations"), "Location", "Total_Violations", 10
+        agg.count_by(clean(s, d), "Location", "Total_Violations"), "Location", "Total_Violations", TOP_PLACES
     ),
     "ranked_locations": lambda s, d: agg.ranked(
         agg.count_by(clean(s, d), "Location", "Total_Violations"), "Location", "Total_Violations"
