@@ -82,3 +82,35 @@ def test_track_stream_in_order_equals_batch(spark, sf_dir):
     batch = track_ids(vehs.subtract(rest), 2, 0.3)
     assert sorted(got.collect()) == sorted(batch.collect())
 
+
+
+
+def test_track_stream_hold_back_handles_split_frames(spark, sf_dir):
+    import time
+
+    vehs = dt.vehicles(dt.processed(raw_detections(spark, sf_dir), dt.DetectionParams()))
+    vehs = vehs.select(*[c.name for c in DETECTIONS.fields]).cache()
+    src = scratch_path(spark, "det-stream-split")
+    # cut the (frame, video, box)-ordered rows every 7 rows, so frames are split
+    # across consecutive files (and micro-batches) at arbitrary points
+    rows = vehs.orderBy("frame_id", "video_id", "det_id").collect()
+    for i in range(0, len(rows), 7):
+        spark.createDataFrame(rows[i:i + 7], DETECTIONS).coalesce(1).write.parquet(f"{src}/f{i:06d}")
+    stream = spark.readStream.schema(DETECTIONS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    name = f"tracks_{uuid.uuid4().hex[:8]}"
+    q = (
+        track_stream(stream, 2, 0.3, hold_back=True, flush_after_ms=500)
+        .writeStream.format("memory")
+        .queryName(name)
+        .option("checkpointLocation", scratch_path(spark, "det-ckpt3"))
+        .trigger(processingTime="100 milliseconds")
+        .start()
+    )
+    try:
+        deadline = time.time() + 240
+        while spark.table(name).count() < len(rows) and time.time() < deadline:
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = spark.table(name)
+    assert sorted(got.collect()) == sorted(track_ids(vehs, 2, 0.3).collect())
