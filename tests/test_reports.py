@@ -211,3 +211,10 @@ def test_month_partitions_prune(spark, sf_dir):
     assert "PartitionFilters: [isnotnull(event_month" in plan and "PushedFilters: [IsNotNull(Timestamp)" in plan
     want = clean.filter((F.col("Timestamp") >= "2024-01-05") & (F.col("Timestamp") < "2024-01-11")).count()
     assert df.count() == want > 0
+
+
+def test_missing_input_fails_fast(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        r.read_raw_csv(spark, str(tmp_path / "absent.csv"))
