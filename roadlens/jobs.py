@@ -23,7 +23,9 @@ from roadlens.operators import detections as dt
 from roadlens.operators import features as ft
 from roadlens.operators import hotspots as hs
 from roadlens.operators import report as rp
+from roadlens.operators import rollup as ru
 from roadlens.operators.chunked_tracking import track_ids_chunked
+from roadlens.session import cut_lineage
 from roadlens.sinks import writers as w
 from roadlens.sources import readers as r
 
@@ -46,21 +48,35 @@ def _cleaned(spark: SparkSession, out: str) -> DataFrame:
 
 
 def analyse(spark: SparkSession, out: str, grid: float = 20.0, k: int = 5, seed: int = 42) -> dict[str, dict]:
-    """Stages 2-3: crosstab, place totals and top 10, counts, hotspots, clusters."""
-    timed = _cleaned(spark, out)
-    located = ft.with_grid_cells(ft.with_coordinates(timed), grid)
-    places = agg.count_by(timed, "Location", "Total_Violations")
+    """Stages 2-3: crosstab, place totals and top 10, counts, hotspots, clusters.
+
+    The cleaned rows are read once: a GROUPING SETS cube (checkpointed) holds
+    every count the reports need, and each report is derived from it.
+    """
+    rows = ft.with_cells_or_null(ft.with_coordinates(_cleaned(spark, out)), grid)
+    cube = ru.report_cube(rows)
+    places = ru.count_report(cube, "Location", "Total_Violations")
     results: dict[str, DataFrame] = {
-        "type_hour_crosstab": agg.crosstab_hours(timed),
+        "type_hour_crosstab": ru.crosstab_from_counts(ru.type_hour_counts(cube)),
         "total_by_location": places,
         "top_locations": agg.top_n(places, "Location", "Total_Violations", 10),
-        "by_type": agg.count_by(timed, "Violation_Type"),
-        "by_severity": agg.count_by(timed, "Severity"),
-        "by_vehicle": agg.count_by(timed, "Vehicle_Type"),
+        "by_type": ru.count_report(cube, "Violation_Type"),
+        "by_severity": ru.count_report(cube, "Severity"),
+        "by_vehicle": ru.count_report(cube, "Vehicle_Type"),
     }
-    results.update(hs.hotspot_report(located))
-    model = ck.fit_clusters(located, k=k, seed=seed)
-    results["cluster_counts"] = ck.cluster_counts(model, located)
+    profile = ru.cell_profile(cube)
+    counts = hs.cell_counts(profile)
+    spots = cut_lineage(hs.hotspots(counts))
+    results.update(
+        cell_counts=counts,
+        hotspots=spots,
+        top_violation=hs.top_violation(profile, spots),
+        peak_hour=hs.peak_hour(profile, spots),
+        structured_hotspots=hs.structured_hotspots(profile, spots),
+        combined_hotspots=hs.combined_hotspots(profile, spots),
+    )
+    points = ru.weighted_points(cube)
+    results["cluster_counts"] = ck.weighted_cluster_counts(ck.fit_weighted(points, k, seed), points)
     return {name: w.write_result(df, _out(out, name)) for name, df in results.items()}
 
 

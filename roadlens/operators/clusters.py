@@ -46,7 +46,17 @@ def fit_clusters(
     max_iter: int = 20,
 ) -> PipelineModel:
     """Assemble ``cols`` and fit K-means (k-means||, euclidean) on weighted points (M1, M2)."""
-    points = cut_lineage(weighted_points(df, cols))
+    return fit_weighted(weighted_points(df, cols), k, seed, cols, max_iter)
+
+
+def fit_weighted(
+    points: DataFrame,
+    k: int = 5,
+    seed: int = 42,
+    cols: Sequence[str] = DEFAULT_COLS,
+    max_iter: int = 20,
+) -> PipelineModel:
+    """Fit on distinct points with a ``weight`` column (checkpointed first)."""
     pipeline = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(cols), outputCol="features"),
@@ -54,7 +64,14 @@ def fit_clusters(
                    predictionCol="cluster", weightCol="weight"),
         ]
     )
-    return pipeline.fit(points)
+    return pipeline.fit(cut_lineage(points))
+
+
+def weighted_cluster_counts(model: PipelineModel, points: DataFrame) -> DataFrame:
+    """Rows per cluster from weighted points."""
+    return model.transform(points).groupBy("cluster").agg(
+        F.sum("weight").cast("bigint").alias("violation_count")
+    )
 
 
 def cluster_rows(model: PipelineModel, df: DataFrame, cols: Sequence[str] = DEFAULT_COLS) -> DataFrame:
@@ -67,8 +84,7 @@ def cluster_rows(model: PipelineModel, df: DataFrame, cols: Sequence[str] = DEFA
 
 def cluster_counts(model: PipelineModel, df: DataFrame, cols: Sequence[str] = DEFAULT_COLS) -> DataFrame:
     """Rows per cluster, ``violation_count`` (G19), from the weighted points."""
-    assigned = model.transform(weighted_points(df, cols))
-    return assigned.groupBy("cluster").agg(F.sum("weight").cast("bigint").alias("violation_count"))
+    return weighted_cluster_counts(model, weighted_points(df, cols))
 
 
 def cluster_centers(spark: SparkSession, model: PipelineModel,

@@ -41,6 +41,16 @@ def with_grid_cells(df: DataFrame, size: float = 20.0, mode: str = "trunc") -> D
     )
 
 
+def with_cells_or_null(df: DataFrame, size: float = 20.0, mode: str = "trunc") -> DataFrame:
+    """Like :func:`with_grid_cells` but keeps every row; cells are null where a
+    coordinate is missing (for reports that also count rows without a place)."""
+    return df.select(
+        "*",
+        grid_cell("Latitude", size, mode).alias("lat_cell"),
+        grid_cell("Longitude", size, mode).alias("lon_cell"),
+    )
+
+
 def normalize_type(df: DataFrame, col: str = "Violation_Type") -> DataFrame:
     """Title-case the type name; null stays null."""
     return df.withColumn(col, title_case(col))

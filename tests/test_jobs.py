@@ -32,3 +32,25 @@ def test_detection_job(spark, sf_dir):
     out = jobs.detections(spark, det_path, scratch_path(spark, "det-out"))
     totals = spark.read.option("header", True).csv(out["totals"]).first()
     assert int(totals["detection_rows"]) == spark.read.parquet(out["summary"]).count() > 0
+
+
+def test_report_cube_equals_direct_reports(spark, sf_dir):
+    from roadlens.operators import aggregates as agg
+    from roadlens.operators import features as ft
+    from roadlens.operators import hotspots as hs
+    from roadlens.operators import rollup as ru
+
+    timed = pv.timed(spark, sf_dir)
+    cube = ru.report_cube(ft.with_cells_or_null(ft.with_coordinates(timed)))
+
+    def same(a, b):
+        rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+        return rows(a) == rows(b.select(*a.columns))
+
+    for col in ["Violation_Type", "Severity", "Vehicle_Type", "Location"]:
+        assert same(ru.count_report(cube, col), agg.count_by(timed, col))
+    assert same(ru.crosstab_from_counts(ru.type_hour_counts(cube)), agg.crosstab_hours(timed))
+    assert same(ru.cell_profile(cube), hs.cell_profile(pv.located(spark, sf_dir)))
+    from roadlens.operators import clusters as ck
+
+    assert same(ru.weighted_points(cube), ck.weighted_points(pv.located(spark, sf_dir)))
