@@ -171,3 +171,14 @@ def test_chunked_tracker_matches_model(spark, seed, chunk, rounds, max_chunks):
         for (f, i), tid in model_track(frames, skip, thr).items():
             want[(v, f, i)] = tid
     assert got == want
+
+
+def test_chunked_equals_sequential_on_fixture(spark, sf_dir):
+    from roadlens.operators import detections as dt
+    from roadlens.operators.chunked_tracking import track_ids_chunked
+    from roadlens.sources.adapters import raw_detections
+
+    vehs = dt.vehicles(dt.processed(raw_detections(spark, sf_dir), dt.DetectionParams())).cache()
+    seq = sorted(track_ids(vehs, 2, 0.3).collect())
+    for chunk in (1, 2, 5):
+        assert sorted(track_ids_chunked(vehs, 2, 0.3, chunk_frames=chunk).collect()) == seq
