@@ -69,12 +69,31 @@ def duck_rows(con, sql):
     return [names[i] for i in order], sorted(rows, key=_key)
 
 
+# Spark type -> DuckDB type name, for the column-type check.
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<int>": "INTEGER[]",
+    "float": "FLOAT", "date": "DATE",
+}
+
+
+def type_diff(df, con, sql):
+    """Columns whose Spark and DuckDB types differ."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def compare(df, con, sql):
     """Return None when equal, else a short description of the difference."""
     s_cols, s_rows = spark_rows(df)
     d_cols, d_rows = duck_rows(con, sql)
     if s_cols != d_cols:
         return f"columns differ: spark={s_cols} duckdb={d_cols}"
+    types = type_diff(df, con, sql)
+    if types:
+        return f"column types differ: {types}"
     if len(s_rows) != len(d_rows):
         return f"row count differs: spark={len(s_rows)} duckdb={len(d_rows)}"
     for a, b in zip(s_rows, d_rows):
