@@ -4,8 +4,9 @@ State per ``video_id`` is what the batch tracker carries between frames:
 the last processed frame, the next free id, and the last frame's track ids
 and boxes. Each micro-batch's rows for a video are sorted by frame inside the
 handler, so a trigger may hold several frames in any order. A frame at or
-before the last processed frame is late and is dropped, because the ids after
-it were already emitted.
+before the last processed frame is late: the ids after it were already
+emitted, so its rows are passed through with a null ``track_id`` rather than
+dropped.
 
 By default a frame is taken to arrive whole within one micro-batch. With
 ``hold_back`` the newest frame of each video waits in state (it may still be
@@ -79,6 +80,10 @@ def _handler(frame_skip: int, threshold: float, hold_back: bool, flush_ms: int):
                 parts.append(held)
             pdf = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=_HELD)
             if tr.last_frame is not None:
+                late = pdf[pdf["frame_id"] <= tr.last_frame]
+                if len(late):
+                    # ids after these frames were already emitted: keep the rows, unassigned
+                    yield late.assign(track_id=pd.array([None] * len(late), dtype="Int64"))[TRACKED.names]
                 pdf = pdf[pdf["frame_id"] > tr.last_frame]
             held_next = None
             if hold_back and len(pdf):

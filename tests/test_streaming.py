@@ -52,12 +52,14 @@ def test_track_stream_equals_batch(spark, sf_dir):
     )
     q.awaitTermination(180)
     got = spark.table(name)
-    # the stream sees frames out of order, so late frames are dropped; compare
-    # with the batch tracker run on exactly the frames the stream kept
-    kept = got.select("video_id", "frame_id").distinct()
+    # frames arrive out of order: late frames come back with a null track_id
+    # (no row is lost); the rest equals the batch tracker on exactly those frames
+    assert got.count() == vehs.count()
+    tracked = got.filter(F.col("track_id").isNotNull())
+    kept = tracked.select("video_id", "frame_id").distinct()
     batch = track_ids(vehs.join(kept, ["video_id", "frame_id"], "left_semi"), 2, 0.3)
-    assert got.count() > 0
-    assert sorted(got.collect()) == sorted(batch.collect())
+    assert tracked.count() > 0 and got.filter(F.col("track_id").isNull()).count() > 0
+    assert sorted(tracked.collect()) == sorted(batch.collect())
 
 
 def test_track_stream_in_order_equals_batch(spark, sf_dir):
