@@ -48,15 +48,10 @@ def read_clean_by_month(spark: SparkSession, path: str, start=None, end=None) ->
     return df
 
 
-def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines violations.
-
-    Values are read as text whatever their JSON type; a ``Timestamp`` given as
-    epoch milliseconds is turned into ``yyyy-MM-dd HH:mm:ss`` text (UTC) so that
-    the usual time parse applies.
-    """
-    df = spark.read.schema(RAW_VIOLATIONS).json(path)
-    ts = F.col("Timestamp")
+def epoch_millis_as_text(df: DataFrame, col: str = "Timestamp") -> DataFrame:
+    """Turn an all-digit ``col`` (epoch milliseconds) into ``yyyy-MM-dd HH:mm:ss``
+    text in UTC; other values are left as they are."""
+    ts = F.col(col)
     millis = F.when(
         ts.rlike(r"^-?[0-9]+$"),
         F.date_format(
@@ -65,7 +60,17 @@ def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
             "yyyy-MM-dd HH:mm:ss",
         ),
     )
-    return df.withColumn("Timestamp", F.coalesce(millis, ts))
+    return df.withColumn(col, F.coalesce(millis, ts))
+
+
+def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
+    """JSON Lines violations.
+
+    Values are read as text whatever their JSON type; a ``Timestamp`` given as
+    epoch milliseconds is turned into ``yyyy-MM-dd HH:mm:ss`` text (UTC) so that
+    the usual time parse applies.
+    """
+    return epoch_millis_as_text(spark.read.schema(RAW_VIOLATIONS).json(path))
 
 
 def read_result_csv(

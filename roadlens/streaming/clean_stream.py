@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadlens.operators.clean import clean_violations, quarantine
 from roadlens.schemas import RAW_VIOLATIONS
 from roadlens.session import scratch_path
+from roadlens.sources.readers import epoch_millis_as_text
 
 
 def read_raw_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -23,7 +24,8 @@ def read_raw_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files_
         reader = reader.option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.format(fmt).load(path)
+    stream = reader.format(fmt).load(path)
+    return epoch_millis_as_text(stream) if fmt == "json" else stream
 
 
 def clean_stream(raw_stream: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -116,3 +116,23 @@ def test_track_stream_hold_back_handles_split_frames(spark, sf_dir):
         q.stop()
     got = spark.table(name)
     assert sorted(got.collect()) == sorted(track_ids(vehs, 2, 0.3).collect())
+
+
+def test_clean_stream_json_epoch_millis(spark, tmp_path):
+    import json
+
+    src = tmp_path / "json_in"
+    src.mkdir()
+    recs = [
+        {"Violation_ID": "x", "Timestamp": 1704164645000, "Location": "1,2", "Violation_Type": "Parking",
+         "Vehicle_Type": "Car", "Severity": "Low", "Fine_Amount": 100},
+        {"Violation_ID": "y", "Timestamp": "32/13/2025", "Location": "1,2", "Violation_Type": None,
+         "Vehicle_Type": "Car", "Severity": "Low", "Fine_Amount": 200},
+    ]
+    (src / "a.json").write_text("\n".join(json.dumps(r) for r in recs))
+    good, bad = scratch_path(spark, "jgood"), scratch_path(spark, "jbad")
+    q = start_clean_stream(spark, str(src), good, bad, fmt="json")
+    q.awaitTermination(120)
+    rows = spark.read.parquet(good).collect()
+    assert [(r["Violation_ID"], str(r["Timestamp"])) for r in rows] == [("x", "2024-01-02 03:04:05")]
+    assert [r["reason"] for r in spark.read.parquet(bad).collect()] == ["bad_timestamp"]
