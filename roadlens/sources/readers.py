@@ -87,7 +87,7 @@ def read_result_csv(
     try:
         return spark.read.schema(schema).option("header", header).csv(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
