@@ -218,3 +218,14 @@ def test_missing_input_fails_fast(spark, tmp_path):
 
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         r.read_raw_csv(spark, str(tmp_path / "absent.csv"))
+
+
+def test_salted_join_hot_key(spark):
+    from roadlens.operators.joins import salted_join
+
+    big = spark.createDataFrame([(0 if i % 3 else i % 7, i) for i in range(3000)], "k long, v long")
+    small = spark.createDataFrame([(0, "hot"), (1, "one"), (3, "three")], "k long, label string")
+    for how in ("inner", "left"):
+        want = sorted(big.join(small, "k", how).collect(), key=repr)
+        got = sorted(salted_join(big, small, ["k"], how, buckets=8, salt_from=["v"]).collect(), key=repr)
+        assert got == want
