@@ -26,7 +26,7 @@ def op3_bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return chunk_dedup.duplicate_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_chunks")
+    return chunk_dedup.duplicate_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
