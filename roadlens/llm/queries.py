@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, source_mix
+from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, qda_quality, source_mix, url_filter
 from roadlens.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -24,6 +24,19 @@ def op3_bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane_files.read_token_files(bitplane_files.write_token_files(docs, public_tokenizers.path(BYTE_BPE), end_id=0))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = qda_quality.described(docs)
+    scores = qda_quality.scored(stats, qda_quality.train(stats, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= qda_quality.KEEP_AT, 1).otherwise(0)
+    return scores.select("doc_id", qda_quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.fit(url_filter.default_labels(spark)))
+
+
 def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return chunk_dedup.duplicate_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -45,6 +58,8 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK = {
     "op2_packing": op2_packing,
     "op3_bitplane": op3_bitplane,
+    "op5_quality": op5_quality,
+    "op6_urls": op6_urls,
     "op7_chunk_dedup": op7_chunk_dedup,
     "op9_mix": op9_mix,
 }
