@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, qda_quality, source_mix, url_filter
+from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, disclosure, qda_quality, source_mix, url_filter
 from roadlens.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -42,6 +42,17 @@ def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.duplicate_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = disclosure.sanitise_spans(docs)
+    counts = [disclosure.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")]
+    return rows.select(
+        "doc_id", *counts,
+        F.sha2(disclosure.joined(F.col("base")), 256).alias("base_sha256"),
+        disclosure.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = source_mix.copies_per_document(docs, source_mix.mix_rates(docs))
@@ -61,6 +72,7 @@ SPARK = {
     "op5_quality": op5_quality,
     "op6_urls": op6_urls,
     "op7_chunk_dedup": op7_chunk_dedup,
+    "op8_disclosure": op8_disclosure,
     "op9_mix": op9_mix,
 }
 
