@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, disclosure, qda_quality, source_mix, url_filter
+from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, disclosure, prefix_forest, qda_quality, source_mix, url_filter
 from roadlens.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -66,6 +66,11 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return prefix_forest.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 SPARK = {
     "op2_packing": op2_packing,
     "op3_bitplane": op3_bitplane,
@@ -74,6 +79,7 @@ SPARK = {
     "op7_chunk_dedup": op7_chunk_dedup,
     "op8_disclosure": op8_disclosure,
     "op9_mix": op9_mix,
+    "op10_forest": op10_forest,
 }
 
 SQL = {
