@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, disclosure, prefix_forest, qda_quality, source_mix, url_filter
+from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, disclosure, prefix_forest, qda_quality, source_mix, url_filter, wrappers
 from roadlens.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -14,6 +14,10 @@ WORD_BPE_SIZE = 49_408
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bm25_packing.pack_documents(docs, public_tokenizers.path(WORD_BPE), end_id=1, vocabulary=WORD_BPE_SIZE)
@@ -72,6 +76,7 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPARK = {
+    "op1_wrappers": op1_wrappers,
     "op2_packing": op2_packing,
     "op3_bitplane": op3_bitplane,
     "op5_quality": op5_quality,
