@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadlens.llm.common import arrow_map, small_slices, text_or_empty, utf8_buffers, written
 
@@ -81,10 +82,12 @@ def cut_points(data: np.ndarray, candidates: np.ndarray) -> list[int]:
 
 
 def recipes(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
-    """One row per document: row_id, doc_id, text_sha256, recipe, bodies.
+    """One row per document: row_id, doc_id, text_sha256, recipe, bodies, and ``row`` with all else.
 
     Written to the shared folder, so ``row_id`` is fixed from here on and the
-    later passes read only the columns they need.
+    later passes read only the columns they need. ``row`` holds the other
+    columns of ``docs`` and whether the text was null, so that with ``bodies``
+    the documents can be written again.
     """
     shift = 64 - hash_bits
 
@@ -114,8 +117,9 @@ def recipes(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
                 pa.array(digests, pa.string()),
                 pa.ListArray.from_arrays(ends, named),
                 pa.ListArray.from_arrays(ends, texts),
+                batch.column("row"),
             ],
-            names=["row_id", "doc_id", "text_sha256", "recipe", "bodies"],
+            names=["row_id", "doc_id", "text_sha256", "recipe", "bodies", "row"],
         )
 
     def run(batches):
@@ -123,11 +127,15 @@ def recipes(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
             for part in small_slices(batch, "text", BATCH_BYTES):
                 yield convert(part)
 
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")
+        F.monotonically_increasing_id().alias("row_id"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_or_empty().alias("text"),
+        F.struct(F.col("text").isNull().alias("__null_text"), *others).alias("row"),
     )
-    schema = "row_id long, doc_id long, text_sha256 string, recipe array<long>, bodies array<string>"
-    return written(rows.mapInArrow(run, schema), "chunk-recipes")
+    schema = StructType.fromDDL("row_id long, doc_id long, text_sha256 string, recipe array<long>, bodies array<string>")
+    return written(rows.mapInArrow(run, schema.add("row", rows.schema["row"].dataType)), "chunk-recipes")
 
 
 def ambiguous_names(table: DataFrame) -> DataFrame:
@@ -153,7 +161,12 @@ def with_verified_key(table: DataFrame) -> DataFrame:
 
 def duplicate_groups(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """One row per document: row_id, doc_id, keep_id, group_size, kept, text_sha256, n_chunks."""
-    keyed = with_verified_key(recipes(docs, hash_bits))
+    return grouped(recipes(docs, hash_bits))
+
+
+def grouped(table: DataFrame) -> DataFrame:
+    """``duplicate_groups`` from a written table of recipes."""
+    keyed = with_verified_key(table)
     groups = keyed.groupBy("recipe", "spelled").agg(
         F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count(F.lit(1)).alias("group_size")
     )
@@ -167,3 +180,12 @@ def duplicate_groups(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
         "a.text_sha256",
         F.size("a.recipe").alias("n_chunks"),
     )
+
+
+def deduplicate(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; texts are put together from their chunks."""
+    table = recipes(docs, hash_bits)
+    kept = grouped(table).where("kept").select("row_id")
+    rows = table.join(kept, "row_id", "left_semi")
+    text = F.when(~F.col("row.__null_text"), F.array_join("bodies", ""))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bitplane_files, bm25_packing, chunk_dedup, disclosure, prefix_forest, qda_quality, source_mix, url_filter, wrappers
+from roadlens.llm import bagminhash, bitplane_files, bm25_packing, chunk_dedup, disclosure, prefix_forest, qda_quality, source_mix, url_filter, wrappers
 from roadlens.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -28,6 +28,11 @@ def op3_bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane_files.read_token_files(bitplane_files.write_token_files(docs, public_tokenizers.path(BYTE_BPE), end_id=0))
 
 
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bagminhash.near_duplicates(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stats = qda_quality.described(docs)
@@ -79,6 +84,7 @@ SPARK = {
     "op1_wrappers": op1_wrappers,
     "op2_packing": op2_packing,
     "op3_bitplane": op3_bitplane,
+    "op4_bagminhash": op4_bagminhash,
     "op5_quality": op5_quality,
     "op6_urls": op6_urls,
     "op7_chunk_dedup": op7_chunk_dedup,
