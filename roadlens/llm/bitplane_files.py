@@ -49,23 +49,42 @@ FOOTER = struct.Struct("<QQ")
 MAGIC = b"BPL1"
 
 
+def swap_bits(x: np.ndarray) -> np.ndarray:
+    """Each 64-bit number as an 8 x 8 bit matrix, transposed: exchanges of bits at distance 7, 14 and 28."""
+    for distance, mask in ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0)):
+        shift = np.uint64(distance)
+        t = (x ^ (x >> shift)) & np.uint64(mask)
+        x = x ^ t ^ (t << shift)
+    return x
+
+
 def to_planes(ids: np.ndarray, width: int, bits: bool) -> list[bytes]:
-    """The block transposed into ``8 * width`` bit planes or ``width`` byte planes."""
+    """The block transposed into ``8 * width`` bit planes or ``width`` byte planes.
+
+    The ids are padded with zeros to a multiple of eight for bit planes.
+    """
     rows = ids.astype(np.dtype(f"<u{width}"), copy=False).view(np.uint8).reshape(len(ids), width)
     if not bits:
         return [rows[:, k].tobytes() for k in range(width)]
-    cells = np.unpackbits(rows, axis=1, bitorder="little")
-    return [x.tobytes() for x in np.packbits(np.ascontiguousarray(cells.T), axis=1, bitorder="little")]
+    out = []
+    for k in range(width):
+        padded = np.zeros(-(-len(ids) // 8) * 8, np.uint8)
+        padded[: len(ids)] = rows[:, k]
+        cells = swap_bits(padded.view("<u8")).astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
+        out += [cells[:, bit].tobytes() for bit in range(8)]
+    return out
 
 
 def from_planes(planes: list[bytes], n: int, width: int, bits: bool) -> np.ndarray:
     """The ids of a block of ``n`` from its planes."""
-    if not bits:
-        rows = np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1)
-    else:
-        cells = np.unpackbits(np.stack([np.frombuffer(p, np.uint8) for p in planes]), axis=1, count=n, bitorder="little")
-        rows = np.packbits(np.ascontiguousarray(cells.T), axis=1, bitorder="little")
-    return np.ascontiguousarray(rows).view(np.dtype(f"<u{width}")).reshape(-1).astype(np.uint32)
+    rows = np.empty((n, width), np.uint8)
+    for k in range(width):
+        if bits:
+            cells = np.stack([np.frombuffer(p, np.uint8) for p in planes[8 * k : 8 * k + 8]], axis=1)
+            rows[:, k] = swap_bits(cells.reshape(-1).view("<u8")).astype("<u8", copy=False).view(np.uint8)[:n]
+        else:
+            rows[:, k] = np.frombuffer(planes[k], np.uint8)
+    return rows.reshape(-1).view(np.dtype(f"<u{width}")).astype(np.uint32)
 
 
 def write_image(ids: np.ndarray, doc_ids: list, sizes: np.ndarray, bits: bool = True, block_ids: int = BLOCK_IDS) -> bytes:
