@@ -179,7 +179,8 @@ def fold(items: list[Item], join) -> list[Item]:
             while i < len(items):
                 body = items[i : i + period]
                 j = i + period
-                if len(body) == period and any(slots(x.key) for x in body):
+                # a group begins with its tag: (p #)+, not (# p)+
+                if len(body) == period and any(slots(x.key) for x in body) and (period == 1 or body[0].key not in ("#", "@")):
                     keys = [x.key for x in body]
                     while [x.key for x in items[j : j + period]] == keys:
                         for a, b in zip(body, items[j : j + period]):
