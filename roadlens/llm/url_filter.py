@@ -90,7 +90,7 @@ def gram_buckets(hosts: pa.Array, paths: pa.Array) -> tuple[np.ndarray, np.ndarr
         data, off = utf8_buffers(column)
         if frame:  # a mark before and after each host, so that n-grams know its ends
             n = len(off) - 1
-            data = np.insert(data, np.concatenate([off[:-1], off[1:]]), np.repeat(np.uint8([1, 2]), n))
+            data = np.insert(data, np.stack([off[:-1], off[1:]], axis=1).reshape(-1), np.tile(np.uint8([1, 2]), n))
             off = off + 2 * np.arange(n + 1)
         owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
         wide = data.astype(np.uint64) + np.uint64(1)
