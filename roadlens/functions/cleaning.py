@@ -19,6 +19,8 @@ FINE_PATTERN = r"^[0-9]+(\.[0-9]+)?$"
 ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss")
 SEVERE_LEVELS = ("High", "Severe", "Critical")
+#: Largest absolute latitude and longitude; other numbers are no coordinates.
+COORDINATE_LIMITS = (90.0, 180.0)
 
 
 def _c(c) -> Column:
@@ -56,8 +58,12 @@ def parse_ts(c, formats: Sequence[str] | None = TIMESTAMP_FORMATS) -> Column:
 
 
 def coordinate(c, index: int) -> Column:
-    """Part ``index`` of ``"lat,lon"`` text as double, null when absent or bad."""
-    return F.trim(F.get(F.split(_c(c), ","), index)).try_cast("double")
+    """Part ``index`` of ``"lat,lon"`` text as double.
+
+    Null when absent, not a number, not finite or out of range.
+    """
+    value = F.trim(F.get(F.split(_c(c), ","), index)).try_cast("double")
+    return F.when(F.abs(value) <= COORDINATE_LIMITS[index], value)
 
 
 def grid_cell(c, size: float, mode: str = "trunc") -> Column:
@@ -68,7 +74,7 @@ def grid_cell(c, size: float, mode: str = "trunc") -> Column:
     """
     ratio = _c(c) / F.lit(float(size))
     if mode == "trunc":
-        whole = ratio.cast("int")
+        whole = F.when(ratio < 0, F.ceil(ratio)).otherwise(F.floor(ratio))
     elif mode == "floor":
         whole = F.floor(ratio)
     else:
@@ -77,8 +83,10 @@ def grid_cell(c, size: float, mode: str = "trunc") -> Column:
 
 
 def title_case(c) -> Column:
-    """Trim, lower-case, then capitalise each space-separated word."""
-    return F.initcap(F.lower(F.trim(_c(c))))
+    """Trim, lower-case, then capitalise each run of letters (P11): ``red-light`` gives ``Red-Light``."""
+    runs = F.regexp_extract_all(F.lower(F.trim(_c(c))), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    capital = F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
+    return F.array_join(capital, "")
 
 
 def is_severe(c, levels: Sequence[str] = SEVERE_LEVELS) -> Column:

@@ -52,12 +52,16 @@ def centroid_y(a: Box) -> Column:
     return (a[1] + a[3]).cast("double") / 2.0
 
 
-def kmph(dx: Column, dy: Column, frames_elapsed, fps: float, meters_per_pixel: float) -> Column:
+def _number(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(float(x))
+
+
+def kmph(dx: Column, dy: Column, frames_elapsed, fps, meters_per_pixel) -> Column:
     """Speed in km/h from a pixel displacement.
 
     ``frames_elapsed <= 0`` counts as one second, as in the reference.
     """
     frames = frames_elapsed if isinstance(frames_elapsed, Column) else F.lit(frames_elapsed)
-    seconds = F.when(frames > 0, frames.cast("double") / F.lit(float(fps))).otherwise(1.0)
-    meters = F.hypot(dx, dy) * F.lit(float(meters_per_pixel))
+    seconds = F.when(frames > 0, frames.cast("double") / _number(fps)).otherwise(1.0)
+    meters = F.hypot(dx, dy) * _number(meters_per_pixel)
     return meters / seconds * 3.6

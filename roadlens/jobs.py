@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,16 +36,17 @@ def _out(base: str, name: str) -> str:
 
 
 def ingest(spark: SparkSession, raw_path: str, out: str, fmt: str = "csv") -> dict[str, str]:
-    """Stage 1: read raw violations, write good rows (CSV + Parquet) and the quarantine."""
+    """Stage 1: read raw violations; every row goes either to the accepted rows
+    (CSV + Parquet) or, with a reason, to the quarantine."""
     raw = r.read_raw_csv(spark, raw_path) if fmt == "csv" else r.read_raw_json(spark, raw_path)
-    paths = w.write_result(cl.good_rows(raw), _out(out, "cleaned"))
+    paths = w.write_result(cl.accepted_rows(raw), _out(out, "cleaned"))
     paths["quarantine"] = w.write_quarantine(cl.quarantine(raw), _out(out, "quarantine"))
     return paths
 
 
 def _cleaned(spark: SparkSession, out: str) -> DataFrame:
     good = spark.read.parquet(_out(out, "cleaned/parquet_output"))
-    return ft.time_features(cl.with_timestamp(good).filter("Timestamp IS NOT NULL"))
+    return ft.time_features(cl.with_timestamp(good))
 
 
 def analyse(spark: SparkSession, out: str, grid: float = 20.0, k: int = 5, seed: int = 42) -> dict[str, dict]:
@@ -75,6 +77,7 @@ def analyse(spark: SparkSession, out: str, grid: float = 20.0, k: int = 5, seed:
         structured_hotspots=hs.structured_hotspots(profile, spots),
         combined_hotspots=hs.combined_hotspots(profile, spots),
     )
+    results["bad_locations"] = cl.bad_locations(_cleaned(spark, out))
     points = ru.weighted_points(cube)
     results["cluster_counts"] = ck.weighted_cluster_counts(ck.fit_weighted(points, k, seed), points)
     return {name: w.write_result(df, _out(out, name)) for name, df in results.items()}
@@ -87,25 +90,45 @@ def dashboard_export(
     severity: str | None = None,
     start=None,
     end=None,
-    end_mode: str = "midnight",
+    end_mode: str = "whole_day",
 ) -> dict[str, str]:
-    """Stage 4: filtered rows and key figures, exported as CSV and JSON Lines."""
-    rows = rp.filter_report(_cleaned(spark, out), vtype, severity, start, end, end_mode, normalize=True)
-    paths = w.write_result(rows, _out(out, "dashboard/filtered"), ("csv", "json"))
-    paths["key_figures"] = w.write_csv(rp.key_figures(rows), _out(out, "dashboard/key_figures"))
-    paths["hourly_profile"] = w.write_csv(agg.hourly_profile(rows), _out(out, "dashboard/hourly_profile"))
-    return paths
+    """Stage 4: filtered rows (CSV and JSON Lines), the tables of the dashboard, and its filter choices."""
+    cleaned = ft.normalize_type(_cleaned(spark, out))
+    filtered = rp.filter_report(cleaned, vtype, severity, start, end, end_mode)
+    paths = w.write_result(filtered, _out(out, "dashboard/filtered"), ("csv", "json", "parquet"))
+    rows = spark.read.parquet(paths["parquet"])  # the tables below read what was filtered once
+    places = agg.count_by(rows, "Location", "Total_Violations", drop_null=True)
+    tables = {
+        "key_figures": rp.key_figures(rows),
+        "hourly_profile": agg.hourly_profile(rows),
+        "type_distribution": agg.count_by(rows, "Violation_Type", drop_null=True),
+        "total_by_location": places,
+        "top_locations": agg.top_n(places, "Location", "Total_Violations", 10),
+        "types": rp.distinct_values(cleaned, "Violation_Type"),
+        "severities": rp.distinct_values(cleaned, "Severity"),
+        "time_bounds": rp.time_bounds(cleaned),
+    }
+    return paths | {name: w.write_csv(df, _out(out, f"dashboard/{name}")) for name, df in tables.items()}
 
 
 def detections(
     spark: SparkSession, det_path: str, out: str, params: dt.DetectionParams = dt.DetectionParams(),
     fmt: str = "parquet", with_helmets: bool = True,
+    helmet_path: str | None = None, rates_path: str | None = None,
 ) -> dict[str, str]:
-    """Stage 5: detections -> tracks -> speeds and rules -> summary and violations."""
+    """Stage 5: detections -> tracks -> speeds and rules -> summary and violations.
+
+    ``helmet_path``: a separate table of helmet boxes; ``rates_path``: a Parquet
+    table of video_id with fps and / or meters_per_pixel. The evaluated rows
+    are written once, and every result is read from them.
+    """
     boxes = dt.processed(r.read_detections(spark, det_path, fmt), params)
     tracks = track_ids_chunked(dt.vehicles(boxes), params.frame_skip, params.iou_threshold)
-    evaluated = dt.evaluate(tracks, boxes, params, with_helmets)
-    violations = dt.violations_table(evaluated, params.fps)
+    helmets = r.read_detections(spark, helmet_path, fmt) if helmet_path else None
+    rates = spark.read.parquet(rates_path) if rates_path else None
+    rows = dt.evaluate(tracks, boxes, params, with_helmets, helmets, rates)
+    evaluated = spark.read.parquet(w.write_parquet(rows, _out(out, "evaluated")))
+    violations = dt.violations_table(evaluated)
     summary = dt.summary(evaluated)
     return {
         "summary": w.write_parquet(summary, _out(out, "detections_summary")),
@@ -132,9 +155,15 @@ def main(argv=None) -> None:
     c.add_argument("--severity")
     c.add_argument("--start")
     c.add_argument("--end")
+    c.add_argument("--end-mode", default="whole_day", choices=["whole_day", "midnight"])
     d = sub.add_parser("detections")
     d.add_argument("detections")
     d.add_argument("out")
+    d.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
+    d.add_argument("--helmets", help="table of helmet boxes from a separate detector")
+    d.add_argument("--rates", help="Parquet table: video_id, fps, meters_per_pixel")
+    for f in fields(dt.DetectionParams):
+        d.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"roadlens-{args.stage}").getOrCreate()
     if args.stage == "ingest":
@@ -142,9 +171,10 @@ def main(argv=None) -> None:
     elif args.stage == "analyse":
         print(analyse(spark, args.out))
     elif args.stage == "dashboard":
-        print(dashboard_export(spark, args.out, args.type, args.severity, args.start, args.end))
+        print(dashboard_export(spark, args.out, args.type, args.severity, args.start, args.end, args.end_mode))
     else:
-        print(detections(spark, args.detections, args.out))
+        params = dt.DetectionParams(**{f.name: getattr(args, f.name) for f in fields(dt.DetectionParams)})
+        print(detections(spark, args.detections, args.out, params, args.format, helmet_path=args.helmets, rates_path=args.rates))
 
 
 if __name__ == "__main__":

@@ -8,7 +8,7 @@ plain aggregate with a total order, instead of a sort or an arbitrary mode.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.session import cut_lineage
@@ -58,7 +58,7 @@ def crosstab_hours(df: DataFrame, row_col: str = "Violation_Type", hour_col: str
 
 def hourly_profile(df: DataFrame, hour_col: str = "hour", name: str = "count") -> DataFrame:
     """All 24 hours with their counts, zero filled."""
-    counts = count_by(df, hour_col, name, drop_null=True)
+    counts = count_by(df.filter(F.col(hour_col).between(0, 23)), hour_col, name, drop_null=True)  # 24 rows at most
     spine = df.sparkSession.range(24).select(F.col("id").cast("int").alias(hour_col))
     return spine.join(F.broadcast(counts), hour_col, "left").select(
         hour_col, F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
@@ -78,12 +78,8 @@ def top_value(df: DataFrame, col: str, value_name: str | None = None, count_name
 
 
 def share(counts: DataFrame, count_col: str = "count", name: str = "percent") -> DataFrame:
-    """Per-row percentage of the column total.
-
-    Meant for small, already aggregated tables: the total is a window over the
-    whole (tiny) input, so the input plan runs once.
-    """
-    total = F.sum(count_col).over(Window.partitionBy())
+    """Per-row percentage of the column total (G17); the total is a scalar subquery."""
+    total = counts.agg(F.sum(count_col)).scalar()
     return counts.withColumn(name, F.round(F.lit(100.0) * F.col(count_col) / total, 6))
 
 

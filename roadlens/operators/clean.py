@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from roadlens.functions.cleaning import (
     TIMESTAMP_FORMATS,
+    coordinate,
     fine_amount,
-    lenient_double,
     parse_ts,
     trimmed,
 )
@@ -37,11 +37,6 @@ def with_fine(df: DataFrame, col: str = "Fine_Amount") -> DataFrame:
     return df.withColumn(col, fine_amount(col))
 
 
-def with_numeric(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Lenient numeric coercion of ``col``."""
-    return df.withColumn(out or col, lenient_double(col))
-
-
 def with_timestamp(
     df: DataFrame,
     col: str = "Timestamp",
@@ -71,10 +66,6 @@ def bad_rows(raw: DataFrame) -> DataFrame:
     return df.filter(parsed.isNull()).withColumn("reason", reason)
 
 
-def split_good_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return good_rows(raw), bad_rows(raw)
-
-
 def clean_violations(
     raw: DataFrame, formats: Sequence[str] | None = TIMESTAMP_FORMATS
 ) -> DataFrame:
@@ -83,6 +74,11 @@ def clean_violations(
     return df.filter(F.col("Timestamp").isNotNull())
 
 
+def accepted_rows(raw: DataFrame, formats: Sequence[str] | None = TIMESTAMP_FORMATS) -> DataFrame:
+    """The rows of ``clean_violations`` with the time still as text: what ``quarantine`` leaves."""
+    return good_rows(raw).filter(parse_ts("Timestamp", formats).isNotNull())
+
+
 def quarantine(raw: DataFrame, formats: Sequence[str] | None = TIMESTAMP_FORMATS) -> DataFrame:
     """Every row ``clean_violations`` drops, with the first failing check as ``reason``."""
     df = trim_all(raw)
@@ -94,3 +90,15 @@ def quarantine(raw: DataFrame, formats: Sequence[str] | None = TIMESTAMP_FORMATS
         .when(ts.isNull(), F.lit("bad_timestamp"))
     )
     return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def bad_locations(df: DataFrame, location: str = "Location") -> DataFrame:
+    """Rows whose place has no usable coordinates, with a ``reason``: what the grid reports leave out."""
+    parts = F.split(F.col(location), ",")
+    reason = (
+        F.when(F.col(location).isNull(), F.lit("missing_location"))
+        .when(F.size(parts) < 2, F.lit("not_a_pair"))
+        .when(coordinate(location, 0).isNull(), F.lit("bad_latitude"))
+        .when(coordinate(location, 1).isNull(), F.lit("bad_longitude"))
+    )
+    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())

@@ -221,16 +221,32 @@ def with_displacement(tracks: DataFrame, frame_skip: int) -> DataFrame:
     return cur.join(prev, ["video_id", "track_id", "frame_id"], "left")
 
 
-def with_speed(tracks: DataFrame, params: DetectionParams) -> DataFrame:
-    """``speed_kmph`` from the displacement; 0 at a track's first position."""
-    d = with_displacement(tracks, params.frame_skip)
+def with_video_rates(rows: DataFrame, params: DetectionParams, rates: DataFrame | None = None) -> DataFrame:
+    """Adds each video's ``fps`` and ``meters_per_pixel``.
+
+    ``rates`` has one row per video with ``video_id`` and either or both
+    columns; a video without one, or with null or 0, gets the parameter.
+    """
+    fallback = {"fps": params.fps, "meters_per_pixel": params.meters_per_pixel}
+    if rates is None:
+        return rows.select("*", *[F.lit(float(v)).alias(c) for c, v in fallback.items()])
+    given = rates.select("video_id", *[F.col(c).cast("double").alias(f"_{c}") for c in fallback if c in rates.columns])
+    joined = rows.join(given, "video_id", "left")
+    for c, v in fallback.items():
+        own = F.col(f"_{c}") if c in rates.columns else F.lit(None).cast("double")
+        joined = joined.withColumn(c, F.when(own > 0, own).otherwise(F.lit(float(v))))
+    return joined.drop(*[f"_{c}" for c in fallback])
+
+
+def with_speed(tracks: DataFrame, params: DetectionParams, rates: DataFrame | None = None) -> DataFrame:
+    """``speed_kmph`` from the displacement at the video's own rates; 0 at a track's first position."""
+    d = with_video_rates(with_displacement(tracks, params.frame_skip), params, rates)
     frames = 1 if params.elapsed == "one" else params.frame_skip
     speed = F.when(
         F.col("prev_cx").isNotNull(),
-        kmph(F.col("cx") - F.col("prev_cx"), F.col("cy") - F.col("prev_cy"), frames,
-             params.fps, params.meters_per_pixel),
+        kmph(F.col("cx") - F.col("prev_cx"), F.col("cy") - F.col("prev_cy"), frames, F.col("fps"), F.col("meters_per_pixel")),
     ).otherwise(F.lit(0.0))
-    return d.withColumn("speed_kmph", speed)
+    return d.withColumn("speed_kmph", speed).drop("meters_per_pixel")
 
 
 # ---------------------------------------------------------------- rules
@@ -267,6 +283,7 @@ def evaluate(
     params: DetectionParams,
     with_helmets: bool,
     helmets: DataFrame | None = None,
+    rates: DataFrame | None = None,
 ) -> DataFrame:
     """Tracks (vehicle boxes with ``track_id``) -> flags and violation text per row.
 
@@ -280,7 +297,7 @@ def evaluate(
         extra = processed(helmets, params).withColumn("class_name", F.lit("helmet"))
         frame_boxes = frame_boxes.unionByName(extra.select(*frame_boxes.columns))
         with_helmets = True
-    fast = with_speed(tracks, params).drop("cx", "cy", "prev_cx", "prev_cy")
+    fast = with_speed(tracks, params, rates).drop("cx", "cy", "prev_cx", "prev_cy")
     ctx = frame_context(fast, frame_boxes, with_helmets, params.label_iou)
     flagged = rule_flags(ctx, params, with_helmets)
     return flagged.withColumn("violations", violation_text())
@@ -299,8 +316,8 @@ def summary(evaluated: DataFrame) -> DataFrame:
     )
 
 
-def violations_table(evaluated: DataFrame, fps: float) -> DataFrame:
-    """Rows with at least one rule; stamped with the frame's time in the video."""
+def violations_table(evaluated: DataFrame) -> DataFrame:
+    """Rows with at least one rule; stamped with the frame's time in its video."""
     return evaluated.filter(F.col("violations") != "").select(
         "video_id",
         "frame_id",
@@ -308,7 +325,7 @@ def violations_table(evaluated: DataFrame, fps: float) -> DataFrame:
         "vehicle_type",
         F.round("speed_kmph", 2).alias("speed_kmph"),
         F.col("violations").alias("violation_type"),
-        F.round(F.col("frame_id") / F.lit(float(fps)), 6).alias("frame_time_s"),
+        F.round(F.col("frame_id") / F.col("fps"), 6).alias("frame_time_s"),
         *BOX,
     )
 

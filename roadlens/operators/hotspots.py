@@ -10,12 +10,9 @@ a one-row scalar subquery, never through the Python driver.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.operators.joins import join_small
 from roadlens.session import cut_lineage
 
 CELL = ["lat_cell", "lon_cell"]
@@ -64,14 +61,13 @@ def hotspots(counts: DataFrame, z_threshold: float = 1.0, min_count: int = 1) ->
     return z.filter(keep).drop("_fallback")
 
 
-def hotspot_rows(rows: DataFrame, spots: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def hotspot_rows(rows: DataFrame, spots: DataFrame) -> DataFrame:
     """Violation rows that fall in a hotspot cell, with the cell's figures.
 
-    The hotspot side is broadcast only after its row count is checked; above
-    the limit the join is a salted shuffle join, so a hot cell is spread over
-    many tasks.
+    A plain join: Catalyst broadcasts the hotspots if they are small, and
+    adaptive execution splits a hot cell if they are not.
     """
-    return join_small(rows, spots, CELL, "inner", max_broadcast_rows)
+    return rows.join(spots, CELL)
 
 
 def _in_hotspots(profile: DataFrame, spots: DataFrame) -> DataFrame:
@@ -96,9 +92,15 @@ def hotspot_hour_counts(profile: DataFrame, spots: DataFrame) -> DataFrame:
     )
 
 
+def _best(count_col: str, value_col: str, when: Column | None = None) -> Column:
+    """The value with the largest count, as (count, value); ties -> smallest value, null last."""
+    pick = F.struct((-F.col(count_col)).alias("back"), F.col(value_col).isNull().alias("none"), F.col(value_col).alias("value"))
+    return F.min(pick if when is None else F.when(when, pick))
+
+
 def _first_per_cell(df: DataFrame, count_col: str, value_col: str) -> DataFrame:
-    w = Window.partitionBy(*CELL).orderBy(F.col(count_col).desc(), F.col(value_col).asc_nulls_last())
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    best = df.groupBy(*CELL).agg(_best(count_col, value_col).alias("best"))
+    return best.select(*CELL, F.col("best.value").alias(value_col), (-F.col("best.back")).alias(count_col))
 
 
 def top_violation(profile: DataFrame, spots: DataFrame) -> DataFrame:
@@ -122,15 +124,36 @@ def structured_hotspots(profile: DataFrame, spots: DataFrame) -> DataFrame:
     )
 
 
-def join_all(frames: list[DataFrame], on: list[str], how: str = "full_outer") -> DataFrame:
-    """N-way USING join, left to right."""
-    return reduce(lambda left, right: left.join(right, on, how), frames)
+def tops_per_hotspot(profile: DataFrame, spots: DataFrame) -> DataFrame:
+    """Top type and peak hour of each hotspot in one pass over its profile.
+
+    Grouping sets count per (cell, type) and per (cell, hour); a second
+    aggregate picks the best of each kind.
+    """
+    by_type, by_hour = 0b0001, 0b0010  # grouping_id bits of (lat, lon, type, hour): a set bit is not grouped
+    counts = (
+        _in_hotspots(profile, spots)
+        .groupingSets([[*CELL, "Violation_Type"], [*CELL, "hour"]], *CELL, "Violation_Type", "hour")
+        .agg(F.sum("n").cast("bigint").alias("n"), F.grouping_id().alias("gid"))
+    )
+    best = counts.groupBy(*CELL).agg(
+        _best("n", "Violation_Type", F.col("gid") == by_type).alias("t"), _best("n", "hour", F.col("gid") == by_hour).alias("h")
+    )
+    return best.select(
+        *CELL,
+        F.col("t.value").alias("Violation_Type"),
+        (-F.col("t.back")).alias("violation_type_count"),
+        F.col("h.value").alias("hour"),
+        (-F.col("h.back")).alias("hour_count"),
+    )
 
 
 def combined_hotspots(profile: DataFrame, spots: DataFrame) -> DataFrame:
-    """Hotspots, top type and peak hour full-outer joined and ordered by cell."""
-    frames = [spots, top_violation(profile, spots), peak_hour(profile, spots)]
-    return join_all(frames, CELL).orderBy(*CELL)
+    """Hotspots with top type and peak hour and their counts, ordered by cell.
+
+    Both tops come from the hotspots' own rows, so keeping every hotspot keeps every row.
+    """
+    return spots.join(tops_per_hotspot(profile, spots), CELL, "left").orderBy(*CELL)
 
 
 def hotspot_report(rows: DataFrame, z_threshold: float = 1.0) -> dict[str, DataFrame]:

@@ -1,8 +1,8 @@
 """Dashboard report: filters, key figures, distinct values.
 
 The reference builds these in pandas after loading whole CSVs into one
-process; here each figure is an aggregate over the filtered DataFrame and the
-date bounds come from a scalar subquery, so nothing is collected.
+process; here each figure is an aggregate over the filtered DataFrame, and
+without dates there is no date filter and no second scan.
 """
 
 from __future__ import annotations
@@ -32,38 +32,30 @@ def filter_report(
     severity: str | None = None,
     start=None,
     end=None,
-    end_mode: str = "midnight",
+    end_mode: str = "whole_day",
     ts: str = "Timestamp",
     normalize: bool = False,
 ) -> DataFrame:
     """Optional equality filters and an inclusive date range.
 
-    ``None`` or ``"All"`` means no filter. Missing dates default to the first
-    and last day in the data. ``end_mode="midnight"`` compares with the end
-    day's midnight as the reference does; ``"whole_day"`` keeps that day.
+    ``None`` or ``"All"`` means no filter, and so does a missing date.
+    ``end_mode="whole_day"`` keeps all of the end day; ``"midnight"`` stops at
+    its first second.
     """
+    if end_mode not in ("midnight", "whole_day"):
+        raise ValueError(f"unknown end_mode {end_mode!r}")
     if normalize:
         df = normalize_type(df)
     if vtype not in (None, ALL):
         df = df.filter(F.col("Violation_Type") == F.lit(vtype))
     if severity not in (None, ALL):
         df = df.filter(F.col("Severity") == F.lit(severity))
-    # Without a start date the range starts at the first day's midnight, which
-    # every row satisfies, so only the end needs the data (one scalar subquery).
-    lo = None if start is None else _day_start(start)
-    if end is None:
-        hi = df.agg(F.to_date(F.max(ts)).cast("timestamp_ntz")).scalar()
-    else:
+    if start is not None:
+        df = df.filter(F.col(ts) >= _day_start(start))
+    if end is not None:
         hi = _day_start(end)
-    if end_mode == "midnight":
-        keep = F.col(ts) <= hi
-    elif end_mode == "whole_day":
-        keep = F.col(ts) < F.timestamp_add("DAY", F.lit(1), hi)
-    else:
-        raise ValueError(f"unknown end_mode {end_mode!r}")
-    if lo is not None:
-        keep = (F.col(ts) >= lo) & keep
-    return df.filter(keep)
+        df = df.filter(F.col(ts) <= hi if end_mode == "midnight" else F.col(ts) < F.timestamp_add("DAY", F.lit(1), hi))
+    return df
 
 
 def severe_count(df: DataFrame, levels=SEVERE_LEVELS) -> DataFrame:

@@ -23,7 +23,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.operators.joins import salted_join
 from roadlens.schemas import TRACKED
 
 _BOX = ["x1", "y1", "x2", "y2"]
@@ -171,12 +170,12 @@ def track_history(tracks: DataFrame, frame_skip: int = 2) -> DataFrame:
 
     A track has no gaps, so the history length at a frame is
     ``(frame_id - first_frame) / skip + 1``; the first frame comes from a
-    per-track aggregate joined back with a salt, so neither the aggregate nor
-    the join puts a whole long track into one task or one list.
+    per-track aggregate joined back, so no track is gathered into one list, and
+    adaptive execution may split the join where a track is long.
     """
     first = tracks.groupBy("video_id", "track_id").agg(F.min("frame_id").alias("_first"))
     return (
-        salted_join(tracks, first, ["video_id", "track_id"], salt_from=["frame_id"])
+        tracks.join(first, ["video_id", "track_id"])
         .select(
             "video_id",
             "track_id",

@@ -16,7 +16,6 @@ from roadlens.operators import detections as dt
 from roadlens.operators import tracking as tk
 from roadlens.operators.chunked_tracking import track_ids_chunked
 from roadlens.plans.oracle import DETECTIONS, with_views
-from roadlens.session import cut_lineage
 from roadlens.sources.adapters import raw_detections
 
 P = dt.DetectionParams()
@@ -31,9 +30,8 @@ CHUNK_FRAMES = 256
 
 
 def det(s: SparkSession, d: str) -> DataFrame:
-    """The detections fixture, derived once per query and checkpointed: every
-    branch below (tracks, frame boxes, previous positions) reads the same rows."""
-    return cut_lineage(raw_detections(s, d))
+    """The detections fixture: row-local, so every branch filters in its own scan."""
+    return raw_detections(s, d)
 
 
 def proc(s, d):
@@ -80,7 +78,7 @@ def _with_helmets(s, d, join):
 
 
 def _violations(s, d):
-    return dt.violations_table(evaluated(s, d), P.fps)
+    return dt.violations_table(evaluated(s, d))
 
 
 def _summary(s, d):
@@ -89,7 +87,12 @@ def _summary(s, d):
 
 def detect_violations(s, d):
     """The whole chain with the real tracker (D11): violation rows."""
-    return dt.violations_table(evaluated(s, d, tracker=True), P.fps)
+    return dt.violations_table(evaluated(s, d, tracker=True))
+
+
+def _rates(s, d):
+    videos = det(s, d).select("video_id").distinct()
+    return videos.select("video_id", F.when(F.col("video_id") % 2 == 1, 30.0).alias("fps"))
 
 
 SPARK = {
@@ -116,6 +119,10 @@ SPARK = {
     "speed_kmph": lambda s, d: dt.with_speed(det_tracks(s, d), P).select(
         *KEYS, F.round("speed_kmph", 6).alias("speed_kmph")
     ),
+    # videos at 25 (the fallback) and 30 frames a second
+    "speed_kmph_rates": lambda s, d: dt.with_speed(det_tracks(s, d), P, _rates(s, d)).select(
+        *KEYS, F.round("speed_kmph", 6).alias("speed_kmph")
+    ),
     "rule_flags": lambda s, d: evaluated(s, d).select(*KEYS, "overspeed", "no_helmet", "triple_riding"),
     "detection_summary": _summary,
     "detection_violations": _violations,
@@ -187,6 +194,7 @@ _KMPH = (
     f"sqrt((cx - prev_cx) * (cx - prev_cx) + (cy - prev_cy) * (cy - prev_cy)) * CAST({P.meters_per_pixel} AS DOUBLE) "
     f"/ {_SECONDS} * 3.6 END"
 )
+SPD_RATES = f"SELECT *, {_KMPH} * CASE WHEN video_id % 2 = 1 THEN 30.0 / {P.fps} ELSE 1.0 END AS speed_kmph FROM disp"
 SPD = f"SELECT *, {_KMPH} AS speed_kmph FROM disp"
 FLAGS = f"""
 SELECT *,
@@ -285,6 +293,10 @@ SQL = {
         "SELECT video_id, frame_id, track_id, round(speed_kmph, 6) AS speed_kmph FROM spd",
         _views(disp=DISP.format(src="trk"), spd=SPD),
     ),
+    "speed_kmph_rates": _q(
+        "SELECT video_id, frame_id, track_id, round(speed_kmph, 6) AS speed_kmph FROM spd",
+        _views(disp=DISP.format(src="trk"), spd=SPD_RATES),
+    ),
     "rule_flags": _q("SELECT video_id, frame_id, track_id, overspeed, no_helmet, triple_riding FROM ev", _full()),
     "detection_summary": _q("SELECT * FROM summ", _full()),
     "detection_violations": _q("SELECT * FROM vio", _full()),

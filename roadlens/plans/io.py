@@ -17,6 +17,7 @@ from roadlens.schemas import LOCATION_TOTALS, RAW_VIOLATIONS
 from roadlens.session import scratch_path
 from roadlens.sinks import writers as w
 from roadlens.sources import readers as r
+from roadlens.streaming.clean_stream import start_clean_stream
 
 
 def _csv(s: SparkSession, d: str) -> DataFrame:
@@ -50,6 +51,32 @@ def _result(s, d):
     return r.read_result_csv(s, paths["csv"], LOCATION_TOTALS)
 
 
+def _result_parquet(s, d):
+    counts = agg.count_by(pv.clean(s, d), "Location", "Total_Violations")
+    return r.scan_parquet(s, w.write_result(counts, scratch_path(s, "rt-result"), ("csv", "parquet"))["parquet"])
+
+
+def _by_month(s, d):
+    path = w.write_clean_by_month(pv.clean(s, d), scratch_path(s, "rt-month"))
+    return s.read.parquet(path).drop("event_month")
+
+
+def _quarantine(s, d):
+    return r.scan_parquet(s, w.write_quarantine(cl.quarantine(pv.raw(s, d)), scratch_path(s, "rt-quarantine")))
+
+
+def _stream(kept: bool):
+    """A side of the cleaning stream over the raw rows as JSON Lines, run until its input is used up."""
+
+    def build(s: SparkSession, d: str) -> DataFrame:
+        source = w.write_json(pv.raw(s, d), scratch_path(s, "st-raw"))
+        good, bad = scratch_path(s, "st-good"), scratch_path(s, "st-bad")
+        start_clean_stream(s, source, good, bad, scratch_path(s, "st-check"), fmt="json").awaitTermination()
+        return s.read.parquet(good if kept else bad).drop("batch")
+
+    return build
+
+
 SPARK = {
     "roundtrip_csv": _csv,
     "roundtrip_csv_noheader": _csv_noheader,
@@ -57,6 +84,11 @@ SPARK = {
     "roundtrip_json": _json,
     "read_clean_csv": _clean_csv,
     "roundtrip_result": _result,
+    "roundtrip_result_parquet": _result_parquet,
+    "roundtrip_by_month": _by_month,
+    "roundtrip_quarantine": _quarantine,
+    "stream_clean": _stream(True),
+    "stream_quarantine": _stream(False),
 }
 
 _ADAPTER = with_views("SELECT * FROM v", v=VIOLATIONS)
@@ -68,4 +100,9 @@ SQL = {
     "roundtrip_json": _ADAPTER,
     "read_clean_csv": pv.SQL["good_rows"],
     "roundtrip_result": pv.SQL["by_location"],
+    "roundtrip_result_parquet": pv.SQL["by_location"],
+    "roundtrip_by_month": pv.SQL["clean"],
+    "roundtrip_quarantine": pv.SQL["quarantine"],
+    "stream_clean": pv.SQL["clean"],
+    "stream_quarantine": pv.SQL["quarantine"],
 }

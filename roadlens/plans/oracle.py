@@ -15,7 +15,8 @@ SELECT 'V' || CAST(event_id AS VARCHAR) AS Violation_ID,
        WHEN event_id % 25 = 1 THEN strftime(ts, '%d/%m/%Y %H:%M:%S')
        WHEN event_id % 25 = 2 THEN strftime(ts, '%m/%d/%Y %H:%M:%S')
        ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS Timestamp,
-  CASE WHEN event_id % 50 = 3 THEN 'unknown'
+  CASE WHEN event_id % 50 = 3 THEN 'unknown' WHEN event_id % 50 = 13 THEN '1e300,2'
+       WHEN event_id % 50 = 23 THEN 'NaN,5' WHEN event_id % 50 = 33 THEN '7,Infinity'
        ELSE CAST((user_id * user_id * 7) % 179 - 89 AS VARCHAR) || '.' || lpad(CAST((user_id * 7919) % 10000 AS VARCHAR), 4, '0')
             || ',' || CAST((user_id * 53) % 359 - 179 AS VARCHAR) || '.' || lpad(CAST((user_id * 104729) % 10000 AS VARCHAR), 4, '0') END AS Location,
   CASE WHEN event_id % 20 = 5 THEN NULL WHEN event_type = 'click' THEN ' Speeding' WHEN event_type = 'error' THEN 'Red Light '
@@ -27,12 +28,12 @@ FROM events
 """
 
 DETECTIONS = """
-WITH r AS (SELECT user_id % 10 AS video_id, event_id, row_number() OVER (PARTITION BY user_id % 10 ORDER BY event_id) - 1 AS r FROM events),
-f AS (SELECT video_id, event_id, CAST(floor(r / 7) AS BIGINT) AS frame_id, r % 7 AS slot FROM r),
+WITH f AS (SELECT event_id // 2100 AS video_id, event_id, (event_id // 7) % 300 AS frame_id, event_id % 7 AS slot
+  FROM events WHERE (event_id % 1000) * 7919 % 20 <> 0),
 b AS (SELECT video_id, event_id, frame_id, slot,
   CASE WHEN slot IN (2, 3, 4, 5) THEN 400 + frame_id * 6 + (event_id % 4) * 30
-       WHEN slot = 0 THEN frame_id * 14 WHEN slot = 1 THEN 400 + frame_id * 6 ELSE 900 + frame_id * 6 END AS x,
-  CASE WHEN slot IN (2, 3, 4, 5) THEN 90 WHEN slot = 6 THEN 160 WHEN slot = 0 THEN 300 ELSE 100 END AS y,
+       WHEN slot = 0 THEN 870 + frame_id * 14 WHEN slot = 1 THEN 400 + frame_id * 6 ELSE 900 + frame_id * 6 END AS x,
+  CASE WHEN slot IN (2, 3, 4, 5) THEN 90 WHEN slot = 6 THEN 160 WHEN slot = 0 THEN 165 ELSE 100 END AS y,
   CASE WHEN slot IN (2, 3, 4) THEN 30 WHEN slot = 5 THEN 12 WHEN slot = 6 THEN 140 ELSE 80 END AS w,
   CASE WHEN slot = 5 THEN 12 ELSE 60 END AS h FROM f)
 SELECT CAST(video_id AS BIGINT) AS video_id, frame_id, CAST(slot AS INT) AS det_id,

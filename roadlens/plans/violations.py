@@ -80,8 +80,12 @@ REPORT_START = "2024-01-03"
 REPORT_END = "2024-01-25"
 
 
-def _report_rows(spark, d):
-    return rp.filter_report(timed(spark, d), vtype=REPORT_TYPE, start=REPORT_START, end=REPORT_END)
+def _report_rows(spark, d, end_mode="whole_day"):
+    return rp.filter_report(timed(spark, d), vtype=REPORT_TYPE, start=REPORT_START, end=REPORT_END, end_mode=end_mode)
+
+
+def _even_record():
+    return F.substr("Violation_ID", F.lit(2)).cast("bigint") % 2 == 0
 
 
 SPARK = {
@@ -133,9 +137,9 @@ SPARK = {
         agg.crosstab_hours(timed(s, d)), "Violation_Type_hour"
     ),
     "hourly_profile": lambda s, d: agg.hourly_profile(timed(s, d)),
-    "union_batches": lambda s, d: raw(s, d).filter(F.col("Severity") == "High").unionByName(
-        raw(s, d).filter(F.col("Severity") != "High").drop("Fine_Amount"),
-        allowMissingColumns=True,
+    # two deliveries that share no row: the second, by even record numbers, came without fines
+    "union_batches": lambda s, d: raw(s, d).filter(~_even_record()).unionByName(
+        raw(s, d).filter(_even_record()).drop("Fine_Amount"), allowMissingColumns=True
     ),
     # hotspots
     "cell_counts": lambda s, d: hs.cell_counts(profile(s, d)),
@@ -157,6 +161,11 @@ SPARK = {
     "filter_report": lambda s, d: _report_rows(s, d).select(
         "Violation_ID", "Timestamp", "Location", "Violation_Type", "Severity", "Fine_Amount"
     ),
+    "filter_report_midnight": lambda s, d: _report_rows(s, d, "midnight").select(
+        "Violation_ID", "Timestamp", "Location", "Violation_Type", "Severity", "Fine_Amount"
+    ),
+    "bad_locations": lambda s, d: cl.bad_locations(clean(s, d)),
+    "accepted_rows": lambda s, d: cl.accepted_rows(raw(s, d)),
     "type_distribution": lambda s, d: agg.count_by(
         rp.filter_report(timed(s, d)), "Violation_Type", drop_null=True
     ),
@@ -196,8 +205,12 @@ TIMED = (
     "SELECT *, CAST(hour(Timestamp) AS INTEGER) AS hour, CAST(dayofweek(Timestamp) + 1 AS INTEGER) AS day_of_week, "
     "CAST(month(Timestamp) AS INTEGER) AS month FROM c"
 )
-LAT = "TRY_CAST(trim(string_split(Location, ',')[1]) AS DOUBLE)"
-LON = "TRY_CAST(trim(string_split(Location, ',')[2]) AS DOUBLE)"
+def _coordinate(index: int, limit: int) -> str:
+    value = f"TRY_CAST(trim(string_split(Location, ',')[{index}]) AS DOUBLE)"
+    return f"CASE WHEN isfinite({value}) AND abs({value}) <= {limit} THEN {value} END"
+
+
+LAT, LON = _coordinate(1, 90), _coordinate(2, 180)
 LOCATED = (
     f"SELECT *, CAST(CAST(trunc(Latitude / 20.0) AS INTEGER) * 20 AS DOUBLE) AS lat_cell, "
     f"CAST(CAST(trunc(Longitude / 20.0) AS INTEGER) * 20 AS DOUBLE) AS lon_cell "
@@ -238,16 +251,13 @@ PEAK = (
 
 REPORT_FILTER = (
     "SELECT * FROM tm WHERE Violation_Type = '{vtype}' "
-    "AND Timestamp >= TIMESTAMP '{start} 00:00:00' AND Timestamp <= TIMESTAMP '{end} 00:00:00'"
-)
-# Default report: all types and severities, range = [first day, last day] at midnight.
-REPORT_ALL = (
-    "SELECT * FROM tm WHERE Timestamp >= (SELECT CAST(CAST(min(Timestamp) AS DATE) AS TIMESTAMP) FROM tm) "
-    "AND Timestamp <= (SELECT CAST(CAST(max(Timestamp) AS DATE) AS TIMESTAMP) FROM tm)"
+    "AND Timestamp >= TIMESTAMP '{start} 00:00:00' AND Timestamp {end}"
 )
+# No type, severity or date given: all rows.
+REPORT_ALL = "SELECT * FROM tm"
 TITLE = (
     "CASE WHEN Violation_Type IS NULL THEN NULL ELSE array_to_string(list_transform("
-    "string_split(lower(trim(Violation_Type)), ' '), lambda w: upper(w[1:1]) || w[2:]), ' ') END"
+    "regexp_extract_all(lower(trim(Violation_Type)), '\\p{L}+|\\P{L}+'), lambda w: upper(w[1:1]) || w[2:]), '') END"
 )
 
 
@@ -333,8 +343,7 @@ SQL = {
         _base(),
     ),
     "union_batches": _q(
-        "SELECT * FROM v WHERE Severity = 'High' UNION ALL "
-        "SELECT * REPLACE (NULL AS Fine_Amount) FROM v WHERE Severity <> 'High'",
+        "SELECT * REPLACE (CASE WHEN CAST(Violation_ID[2:] AS BIGINT) % 2 = 0 THEN NULL ELSE Fine_Amount END AS Fine_Amount) FROM v",
         {"v": VIOLATIONS},
     ),
     "cell_counts": _q("SELECT * FROM cells", _hot()),
@@ -366,8 +375,18 @@ SQL = {
     ),
     "filter_report": _q(
         "SELECT Violation_ID, Timestamp, Location, Violation_Type, Severity, Fine_Amount FROM rf",
-        _base(rf=REPORT_FILTER.format(vtype=REPORT_TYPE, start=REPORT_START, end=REPORT_END)),
+        _base(rf=REPORT_FILTER.format(vtype=REPORT_TYPE, start=REPORT_START, end=f"< TIMESTAMP '{REPORT_END} 00:00:00' + INTERVAL 1 DAY")),
+    ),
+    "filter_report_midnight": _q(
+        "SELECT Violation_ID, Timestamp, Location, Violation_Type, Severity, Fine_Amount FROM rf",
+        _base(rf=REPORT_FILTER.format(vtype=REPORT_TYPE, start=REPORT_START, end=f"<= TIMESTAMP '{REPORT_END} 00:00:00'")),
+    ),
+    "bad_locations": _q(
+        f"SELECT * FROM (SELECT *, CASE WHEN Location IS NULL THEN 'missing_location' WHEN len(string_split(Location, ',')) < 2 THEN 'not_a_pair' "
+        f"WHEN ({LAT}) IS NULL THEN 'bad_latitude' WHEN ({LON}) IS NULL THEN 'bad_longitude' END AS reason FROM c) WHERE reason IS NOT NULL",
+        _base(),
     ),
+    "accepted_rows": _q(f"SELECT * FROM g WHERE {TS_MULTI} IS NOT NULL", _base()),
     "type_distribution": _q(
         "SELECT Violation_Type, count(*) AS count FROM ra WHERE Violation_Type IS NOT NULL GROUP BY 1",
         _base(ra=REPORT_ALL),

@@ -7,7 +7,10 @@ the setting is missing, which is the case in unit tests.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +57,24 @@ def cut_lineage(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once a session (``SparkContext.addPyFile``).
+
+    Needed where executors do not have it installed and the driver was started
+    from another folder; the driver serves the archive itself.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_roadlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="roadlens-"), "roadlens-src.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._roadlens_shipped = True

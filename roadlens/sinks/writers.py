@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,18 +48,17 @@ def write_result(
 ) -> dict[str, str]:
     """Write one result in several formats under ``base/<fmt>_output`` (K9).
 
-    With more than one format the result is persisted once so that each
-    write does not recompute the whole plan.
+    The first format written is Parquet if it is asked for, and the others are
+    then written from it, so the plan runs once and nothing is held by executors.
     """
-    formats = list(formats)
-    cached = len(formats) > 1
-    if cached:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {fmt: _WRITERS[fmt](df, f"{base.rstrip('/')}/{fmt}_output", mode=mode) for fmt in formats}
-    finally:
-        if cached:
-            df.unpersist()
+    path = lambda fmt: f"{base.rstrip('/')}/{fmt}_output"
+    order = sorted(formats, key=lambda fmt: fmt != "parquet")
+    paths = {}
+    for fmt in order:
+        paths[fmt] = _WRITERS[fmt](df, path(fmt), mode=mode)
+        if fmt == "parquet":
+            df = df.sparkSession.read.parquet(paths[fmt])
+    return paths
 
 
 def write_clean_by_month(df: DataFrame, path: str, ts: str = "Timestamp", mode: str = "overwrite") -> str:

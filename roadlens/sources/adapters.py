@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.operators.sequence import row_number_by_unique_id
-
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
@@ -46,6 +44,9 @@ def violations_from_events(events: DataFrame) -> DataFrame:
         .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
         .alias("Timestamp"),
         F.when(eid % 50 == 3, F.lit("unknown"))
+        .when(eid % 50 == 13, F.lit("1e300,2"))
+        .when(eid % 50 == 23, F.lit("NaN,5"))
+        .when(eid % 50 == 33, F.lit("7,Infinity"))
         .otherwise(F.concat(lat, F.lit(","), lon))
         .alias("Location"),
         F.when(eid % 20 == 5, F.lit(None).cast("string"))
@@ -76,29 +77,35 @@ def raw_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations_from_events(read_events(spark, sf_dir))
 
 
+# Frames of a video, boxes of a frame; one box in MISSED is not detected.
+FRAMES, SLOTS, MISSED = 300, 7, 20
+
+
 def detections_from_events(events: DataFrame) -> DataFrame:
-    """Raw detections (F14): ten videos, seven box slots per frame.
+    """Raw detections (F14): seven box slots per frame, 300 frames per video.
 
-    Frame numbers come from the rank of ``event_id`` inside each video; the
-    rank is computed without sending a whole video to one task.
+    Video, frame and slot are arithmetic on ``event_id``, so every row is made
+    on its own, filters run in the scan, and more events give more videos. A
+    car and a truck queue in overlapping boxes, and one box in twenty is missed.
     """
-    base = events.select(F.col("event_id"), (F.col("user_id") % 10).alias("video_id"))
-    ranked = row_number_by_unique_id(base, ["video_id"], "event_id", out="r")
     eid = F.col("event_id")
-    frame = F.floor(F.col("r") / 7).cast("bigint")
-    slot = F.col("r") % 7
-    f = ranked.select("video_id", eid, frame.alias("frame_id"), slot.alias("slot"))
+    f = events.where((eid % 1000) * 7919 % MISSED != 0).select(
+        F.floor(eid / (FRAMES * SLOTS)).alias("video_id"),
+        eid,
+        (F.floor(eid / SLOTS) % FRAMES).alias("frame_id"),
+        (eid % SLOTS).alias("slot"),
+    )
     person_like = F.col("slot").isin(2, 3, 4, 5)
     x = (
         F.when(person_like, 400 + F.col("frame_id") * 6 + (eid % 4) * 30)
-        .when(F.col("slot") == 0, F.col("frame_id") * 14)
+        .when(F.col("slot") == 0, 870 + F.col("frame_id") * 14)
         .when(F.col("slot") == 1, 400 + F.col("frame_id") * 6)
         .otherwise(900 + F.col("frame_id") * 6)
     )
     y = (
         F.when(person_like, 90)
         .when(F.col("slot") == 6, 160)
-        .when(F.col("slot") == 0, 300)
+        .when(F.col("slot") == 0, 165)
         .otherwise(100)
     )
     w = (

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadlens.operators.clean import clean_violations, quarantine
 from roadlens.schemas import RAW_VIOLATIONS
-from roadlens.session import scratch_path
 from roadlens.sources.readers import epoch_millis_as_text
 
 
@@ -38,11 +37,16 @@ def start_clean_stream(
     source: str,
     good_path: str,
     bad_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     fmt: str = "csv",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
+    """Clean ``source`` into two folders; ``checkpoint`` is the stream's own folder.
+
+    A restart with the same ``checkpoint`` goes on where the stream stopped and
+    repeats an unfinished batch under its old number.
+    """
     raw = read_raw_stream(spark, source, fmt, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -53,8 +57,6 @@ def start_clean_stream(
         finally:
             batch.unpersist()
 
-    writer = raw.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "clean-stream-ckpt")
-    )
+    writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

@@ -34,7 +34,7 @@ def test_fine_is_strict(spark):
 
 
 def test_good_plus_bad_is_input_with_reasons(spark):
-    good, bad = cl.split_good_bad(raw(spark))
+    good, bad = cl.good_rows(raw(spark)), cl.bad_rows(raw(spark))
     assert good.count() + bad.count() == len(ROWS)
     reasons = {r["Violation_ID"]: r["reason"] for r in bad.collect()}
     assert reasons == {
@@ -90,16 +90,28 @@ def test_time_features_sunday_is_one(spark):
     assert (row["hour"], row["day_of_week"], row["month"]) == (10, 7, 1)
 
 
-def test_row_numbers_match_window(spark):
-    from pyspark.sql import Window
+def test_accepted_plus_quarantine_is_input(spark):
+    kept, out = cl.accepted_rows(raw(spark)), cl.quarantine(raw(spark))
+    ids = sorted([r["Violation_ID"] for r in kept.collect()] + [r["Violation_ID"] for r in out.collect()])
+    assert ids == sorted(r[0] for r in ROWS)
+    assert kept.count() == cl.clean_violations(raw(spark)).count()
 
-    from roadlens.operators.sequence import row_number_by_unique_id
 
-    # sparse, unevenly spread ids in a few groups, one group much larger
-    rows = [(i * 7919 % 1000003 * 13, 0 if i % 3 else i % 4) for i in range(3000)]
-    df = spark.createDataFrame(rows, "id bigint, g bigint")
-    got = row_number_by_unique_id(df, ["g"], "id", bucket_rows=50)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
-    assert sorted(got.select("id", "g", "rn").collect()) == sorted(
-        want.select("id", "g", F.col("rn").cast("bigint")).collect()
-    )
+def test_odd_coordinates_are_no_coordinates(spark):
+    from roadlens.operators import features as ft
+
+    places = ["1e300,2", "NaN,5", "Infinity,1", "1,-Infinity", "91,0", "0,181", "-90,180", "1.5,-0.5", "unknown", None, "4", ",", "5,"]
+    df = spark.createDataFrame([(p,) for p in places], "Location string")
+    cells = ft.with_grid_cells(ft.with_coordinates(df), 20.0, "trunc").collect()
+    assert [(r.Location, r.lat_cell, r.lon_cell) for r in cells] == [("-90,180", -80.0, 180.0), ("1.5,-0.5", 0.0, 0.0)]
+    bad = {r.Location: r.reason for r in cl.bad_locations(df).collect()}
+    assert len(bad) == len(places) - 2 and bad["NaN,5"] == "bad_latitude" and bad["1,-Infinity"] == "bad_longitude"
+    assert bad[None] == "missing_location" and bad["unknown"] == "not_a_pair"
+
+
+def test_title_case_after_any_non_letter(spark):
+    from roadlens.functions.cleaning import title_case
+
+    texts = ["red-light", "  NO helmet ", "o'neil st2nd", "", "\u00e9t\u00e9 _a1b", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(title_case("t").alias("t"))
+    assert [r.t for r in df.collect()] == [None if t is None else t.strip().title() for t in texts]

@@ -17,12 +17,15 @@ def test_violation_jobs(spark, sf_dir):
     out = scratch_path(spark, "jobs")
     paths = jobs.ingest(spark, raw_path, out)
     assert set(paths) == {"csv", "parquet", "quarantine"}
+    counts = [spark.read.parquet(paths["parquet"]).count(), spark.read.parquet(paths["quarantine"]).count()]
+    assert sum(counts) == raw_violations(spark, sf_dir).count() and min(counts) > 0
     written = jobs.analyse(spark, out)
     assert {"hotspots", "combined_hotspots", "cluster_counts", "top_locations"} <= set(written)
     spots = spark.read.parquet(written["hotspots"]["parquet"])
     assert sorted(spots.collect()) == sorted(pv.spots(spark, sf_dir).collect())
     export = jobs.dashboard_export(spark, out, vtype="Speeding")
     rows = spark.read.option("header", True).csv(export["csv"])
+    assert {"key_figures", "type_distribution", "top_locations", "types", "severities", "time_bounds"} <= set(export)
     assert rows.count() > 0 and rows.filter(F.col("Violation_Type") != "Speeding").count() == 0
 
 

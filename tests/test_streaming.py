@@ -24,8 +24,13 @@ def test_clean_stream_equals_batch(spark, sf_dir):
     for i in range(3):
         write_csv(raw.filter(F.abs(F.hash("Violation_ID")) % 3 == i), f"{src}/part{i}")
     good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
-    q = start_clean_stream(spark, f"{src}/*", good, bad, max_files_per_trigger=1)
-    q.awaitTermination(120)
+    check = scratch_path(spark, "stream-check")
+    start_clean_stream(spark, f"{src}/*", good, bad, check, max_files_per_trigger=1).awaitTermination(120)
+    # a restart reads nothing twice, and takes what has come since
+    write_csv(raw.filter("Violation_ID = 'V1'").selectExpr("'VX' AS Violation_ID", "* EXCEPT (Violation_ID)"), f"{src}/part3")
+    start_clean_stream(spark, f"{src}/*", good, bad, check, max_files_per_trigger=1).awaitTermination(120)
+    late = raw.filter("Violation_ID = 'V1'").selectExpr("'VX' AS Violation_ID", "* EXCEPT (Violation_ID)")
+    raw = raw.unionByName(late)
     got_good = spark.read.parquet(good).drop("batch")
     got_bad = spark.read.parquet(bad).drop("batch")
     assert sorted(got_good.collect()) == sorted(cl.clean_violations(raw).collect())
@@ -131,7 +136,7 @@ def test_clean_stream_json_epoch_millis(spark, tmp_path):
     ]
     (src / "a.json").write_text("\n".join(json.dumps(r) for r in recs))
     good, bad = scratch_path(spark, "jgood"), scratch_path(spark, "jbad")
-    q = start_clean_stream(spark, str(src), good, bad, fmt="json")
+    q = start_clean_stream(spark, str(src), good, bad, scratch_path(spark, "check-json"), fmt="json")
     q.awaitTermination(120)
     rows = spark.read.parquet(good).collect()
     assert [(r["Violation_ID"], str(r["Timestamp"])) for r in rows] == [("x", "2024-01-02 03:04:05")]
