@@ -15,10 +15,9 @@ boxes are data; only the ids and the order are unknown.
    chunks in order, turning local ids into global ones with a running count of
    births and the global ids of the previous chunk's last frame.
 3. **Re-run** each video's first uncertain chunk with its true seed order,
-   which the stitch pass now knows, and stitch again. Each round settles at
-   least one chunk per affected video; after ``max_rounds`` the remaining
-   videos fall back to the sequential tracker. All paths give the same ids as
-   the sequential tracker.
+   which the stitch pass now knows, and stitch again, until none is left. Each
+   round settles at least one chunk of every affected video and writes only the
+   chunks it re-ran. The ids are those of the sequential tracker.
 
 Every group that reaches Python is one chunk (bounded by ``chunk_frames``)
 or one video's boundary list (one row per chunk and last-frame box).
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlens.operators.tracking import VideoTracker, _frame_bounds, track_ids
+from roadlens.operators.tracking import VideoTracker, _frame_bounds
 from roadlens.schemas import TRACKED
 from roadlens.session import cut_lineage
 
@@ -138,46 +137,39 @@ def track_ids_chunked(
     frame_skip: int = 2,
     iou_threshold: float = 0.3,
     chunk_frames: int = 1024,
-    max_rounds: int = 8,
-    max_chunks_per_video: int | None = 100_000,
 ) -> DataFrame:
     """Same rows and ids as :func:`track_ids`, computed over frame ranges.
 
-    A chunk holds ``chunk_frames`` processed frames, or more when the longest
-    video would need over ``max_chunks_per_video`` chunks: that caps the
-    per-video boundary list the stitch pass walks. Input frame ids must be
+    A chunk holds ``chunk_frames`` processed frames, whatever the length of the
+    videos, and no task ever holds more than one. Input frame ids must be
     multiples of ``frame_skip`` (sampled). Runs small Spark jobs eagerly
     (stitching rounds); the chunk results are checkpointed.
     """
     skip, thr = int(frame_skip), float(iou_threshold)
     src = vehicle_boxes.select(*[F.col(c).cast(TRACKED[c].dataType) for c in _COLS])
-    per_chunk = F.lit(int(chunk_frames))
-    if max_chunks_per_video:
-        # The longest video sets one span for all (a one-row scalar subquery).
-        frames = F.floor(F.max("frame_id") / F.lit(skip)) + 1
-        longest = src.agg(F.ceil(frames / F.lit(int(max_chunks_per_video)))).scalar()
-        per_chunk = F.greatest(per_chunk, F.coalesce(longest, F.lit(1)))
-    src = src.withColumn("_span", (per_chunk * F.lit(skip)).cast("bigint"))
+    src = src.withColumn("_span", F.lit(int(chunk_frames) * skip).cast("bigint"))
     span, last_slot = F.col("_span"), F.col("_span") - F.lit(skip)
     base = src.withColumn("chunk", F.floor(F.col("frame_id") / span).cast("bigint"))
     seeds = base.filter(F.col("frame_id") % span == last_slot).withColumn("chunk", F.col("chunk") + 1)
     plain = base.withColumn("_seed", F.lit(False)).withColumn("_rank", F.lit(None).cast("bigint"))
     groups = plain.unionByName(seeds.withColumn("_seed", F.lit(True)).withColumn("_rank", F.lit(None).cast("bigint")))
-    spec = cut_lineage(
+    first = spec = cut_lineage(
         groups.groupBy("video_id", "chunk").applyInPandas(_run_chunk(skip, thr, True), SPEC)
     )
 
     keys = ["video_id", "chunk"]
-    for round_no in range(max_rounds + 1):
+    settled: DataFrame | None = None
+    while True:
         stats = spec.groupBy(*keys).agg(F.max("births").alias("births"), F.max("conflict").alias("conflict"))
         last = spec.filter(F.col("frame_id") % span == last_slot).select(
             *keys, "det_id", "local_id"
         )
+        stats, last = stats.toDF(*stats.columns), last.toDF(*last.columns)  # both come from ``spec``: columns of their own
         stitched = cut_lineage(
             stats.groupBy("video_id").cogroup(last.groupBy("video_id")).applyInPandas(_stitch(), STITCH)
         )
         blocked = stitched.filter(F.col("status") == "blocked")
-        if blocked.limit(1).count() == 0 or round_no == max_rounds:
+        if blocked.isEmpty():
             break
         blocked_chunks = blocked.select(*keys).distinct()
         ranks = blocked.filter(F.col("seed_j").isNotNull()).select(
@@ -190,16 +182,17 @@ def track_ids_chunked(
         rerun = rerun_rows.unionByName(rerun_seeds.select(*rerun_rows.columns)).groupBy(*keys).applyInPandas(
             _run_chunk(skip, thr, False), SPEC
         )
-        spec = cut_lineage(spec.join(blocked_chunks, keys, "left_anti").unionByName(rerun))
+        rerun = cut_lineage(rerun)
+        settled = rerun if settled is None else settled.unionByName(rerun)
+        open_chunks = first.join(settled.select(*keys).distinct(), keys, "left_anti")
+        spec = open_chunks.unionByName(settled)
 
-    stuck = blocked.select("video_id").distinct()
     offsets = stitched.filter((F.col("status") == "ok") & F.col("seed_j").isNull()).select(*keys, "offset")
     seed_ids = stitched.filter((F.col("status") == "ok") & F.col("seed_j").isNotNull()).select(
         *keys, (-(F.col("seed_j") + 1)).alias("local_id"), "seed_gid"
     )
-    done = (
-        spec.join(stuck, "video_id", "left_anti")
-        .join(offsets, keys, "inner")
+    return (
+        spec.join(offsets, keys, "inner")
         .join(seed_ids, [*keys, "local_id"], "left")
         .withColumn(
             "track_id",
@@ -207,5 +200,3 @@ def track_ids_chunked(
         )
         .select(*TRACKED.names)
     )
-    fallback = track_ids(src.drop("_span").join(stuck, "video_id", "left_semi"), skip, thr)
-    return done.unionByName(fallback)

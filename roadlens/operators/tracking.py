@@ -116,10 +116,11 @@ def _frame_bounds(videos: np.ndarray, frames: np.ndarray) -> np.ndarray:
 
 
 def _track_batches(batches: Iterator[pd.DataFrame], frame_skip: int, threshold: float):
-    trackers: dict[int, VideoTracker] = {}
+    current: tuple[int, VideoTracker] | None = None  # rows are sorted by video: earlier ones are done
     pending: pd.DataFrame | None = None
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        nonlocal current
         videos = pdf["video_id"].to_numpy()
         frames = pdf["frame_id"].to_numpy()
         boxes = pdf[_BOX].to_numpy()
@@ -127,10 +128,9 @@ def _track_batches(batches: Iterator[pd.DataFrame], frame_skip: int, threshold:
         bounds = _frame_bounds(videos, frames)
         for s, e in zip(bounds[:-1], bounds[1:]):
             v = int(videos[s])
-            tr = trackers.get(v)
-            if tr is None:
-                tr = trackers[v] = VideoTracker(frame_skip, threshold)
-            ids[s:e] = tr.update(int(frames[s]), boxes[s:e])
+            if current is None or current[0] != v:
+                current = (v, VideoTracker(frame_skip, threshold))
+            ids[s:e] = current[1].update(int(frames[s]), boxes[s:e])
         return pdf.assign(track_id=ids)
 
     for pdf in batches:

@@ -8,10 +8,10 @@ before the last processed frame is late: the ids after it were already
 emitted, so its rows are passed through with a null ``track_id`` rather than
 dropped.
 
-By default a frame is taken to arrive whole within one micro-batch. With
-``hold_back`` the newest frame of each video waits in state (it may still be
-incomplete) until a newer frame arrives or the video has been quiet for
-``flush_after``; a processing-time timeout then tracks and emits it.
+The newest frame of each video waits in state (it may still be incomplete)
+until a newer frame arrives or the video has been quiet for ``flush_after_ms``;
+a processing-time timeout then tracks and emits it. ``hold_back=False`` is for
+sources whose frames arrive whole within one micro-batch.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def track_stream(
     vehicle_stream: DataFrame,
     frame_skip: int = 2,
     iou_threshold: float = 0.3,
-    hold_back: bool = False,
+    hold_back: bool = True,
     flush_after_ms: int = 10_000,
 ) -> DataFrame:
     """Streaming vehicle boxes (F14 columns) -> the same rows with ``track_id``."""

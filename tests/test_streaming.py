@@ -47,7 +47,7 @@ def test_track_stream_equals_batch(spark, sf_dir):
     stream = spark.readStream.schema(DETECTIONS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     name = f"tracks_{uuid.uuid4().hex[:8]}"
     q = (
-        track_stream(stream, 2, 0.3)
+        track_stream(stream, 2, 0.3, hold_back=False)
         .writeStream.format("memory")
         .queryName(name)
         .outputMode("append")
@@ -76,7 +76,7 @@ def test_track_stream_in_order_equals_batch(spark, sf_dir):
     stream = spark.readStream.schema(DETECTIONS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     name = f"tracks_{uuid.uuid4().hex[:8]}"
     q = (
-        track_stream(stream, 2, 0.3)
+        track_stream(stream, 2, 0.3, hold_back=False)
         .writeStream.format("memory")
         .queryName(name)
         .option("checkpointLocation", scratch_path(spark, "det-ckpt2"))
@@ -106,7 +106,7 @@ def test_track_stream_hold_back_handles_split_frames(spark, sf_dir):
     stream = spark.readStream.schema(DETECTIONS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     name = f"tracks_{uuid.uuid4().hex[:8]}"
     q = (
-        track_stream(stream, 2, 0.3, hold_back=True, flush_after_ms=500)
+        track_stream(stream, 2, 0.3, flush_after_ms=500)
         .writeStream.format("memory")
         .queryName(name)
         .option("checkpointLocation", scratch_path(spark, "det-ckpt3"))

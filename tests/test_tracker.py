@@ -154,9 +154,9 @@ def crowded_video(rng, n_frames, skip):
 
 
 @pytest.mark.parametrize(
-    "seed,chunk,rounds,max_chunks", [(11, 3, 8, None), (12, 5, 8, 100), (13, 4, 1, 4), (14, 7, 0, None)]
+    "seed,chunk", [(11, 3), (12, 5), (13, 4), (14, 7)]
 )
-def test_chunked_tracker_matches_model(spark, seed, chunk, rounds, max_chunks):
+def test_chunked_tracker_matches_model(spark, seed, chunk):
     from roadlens.operators.chunked_tracking import track_ids_chunked
 
     rng = random.Random(seed)
@@ -164,8 +164,7 @@ def test_chunked_tracker_matches_model(spark, seed, chunk, rounds, max_chunks):
     videos = {v: (crowded_video(rng, 50, skip) if v % 2 else random_video(rng, 50, skip)) for v in range(4)}
     df = spark.createDataFrame(to_rows(videos), DETECTIONS)
     got = {(r.video_id, r.frame_id, r.det_id): r.track_id
-           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk, max_rounds=rounds,
-                                                max_chunks_per_video=max_chunks).collect()}
+           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk).collect()}
     want = {}
     for v, frames in videos.items():
         for (f, i), tid in model_track(frames, skip, thr).items():
