@@ -33,7 +33,7 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections import defaultdict
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -46,6 +46,7 @@ from roadlens.llm.url_filter import host_and_path
 SALTS = 16
 LONGEST_PERIOD = 12
 TEMPLATE_PAGES = 5
+KNOWN_STREAMS, LONGEST_KNOWN = 4096, 2000
 
 # Fixed lists: HTML element names.
 RAW = frozenset("script style noscript template iframe xmp noembed noframes textarea title svg math object select".split())
@@ -258,16 +259,28 @@ def align(a: list[Item], b: list[Item], join) -> list[Item]:
     return out
 
 
-def folded_page(page: str) -> tuple[str, list[list[int]], list[str]]:
-    """(pattern, per slot the numbers of its text blocks, text blocks) of one page."""
-    stream, texts = read_page(page)
+def fold_stream(stream: tuple[str, ...]) -> tuple[str, list[list[int]]]:
+    """(pattern, per slot the numbers of its text blocks) of a stream of symbols."""
     items, k = [], 0
     for s in stream:
-        own = s in "#@"
+        own = s in ("#", "@")
         items.append(Item(s, [[k]] if own else []))
         k += own
     items = fold(items, lambda x, y: x + y)
-    return " ".join(x.key for x in items), [h for x in items for h in x.held], texts
+    return " ".join(x.key for x in items), [h for x in items for h in x.held]
+
+
+fold_known = lru_cache(maxsize=KNOWN_STREAMS)(fold_stream)
+
+
+def folded_page(page: str) -> tuple[str, list[list[int]], list[str]]:
+    """(pattern, per slot the numbers of its text blocks, text blocks) of one page.
+
+    Pages of a site repeat their streams, so a worker keeps the last foldings.
+    """
+    stream, texts = read_page(page)
+    pattern, held = (fold_known if len(stream) <= LONGEST_KNOWN else fold_stream)(tuple(stream))
+    return pattern, held, texts
 
 
 def seen_join(x: list, y: list) -> list:
