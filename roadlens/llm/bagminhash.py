@@ -21,8 +21,9 @@ row of each goes on. Every bucket has a hub, its member with the largest
 buckets overall (the original of a group of edited copies shares most with
 them); all members are compared with it on their full bags, so a bucket of n
 costs n comparisons. What is not linked to its hub may still be linked to
-another member: members of different classes, whose signatures agree enough,
-are then compared pair by pair, in blocks of members.
+another member: among documents connected by buckets, those of different
+classes are then compared on their full bags, block with block, as products of
+0/1 matrices; a task returns only the links that join classes, not all pairs.
 
 Defined cases: null text counts as empty; documents without words are equal
 texts if they are equal, and otherwise linked to nothing; documents of fewer
@@ -51,8 +52,6 @@ BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
 BATCH_BYTES = 2 << 20
 BLOCK_MEMBERS = 512
-#: Signatures of a pair at SIMILARITY agree in this share of components or more, but for one pair in some ten thousand.
-LEAST_AGREEMENT = SIMILARITY - 3.7 * (SIMILARITY * (1 - SIMILARITY) / COMPONENTS) ** 0.5
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,11 +133,11 @@ def expanded(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return mixed(np.repeat(shingle, weight) + (nth.astype(np.uint64) << np.uint64(48))).view(np.int64)
 
 
-SIGNED = "row_id long, doc_id long, digest string, bands array<long>, small binary"
+SIGNED = "row_id long, doc_id long, digest string, bands array<long>"
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """The written table of signatures; ``small`` has one byte per component, ``bands`` is empty for empty bags."""
+    """The written table of band hashes; ``bands`` is empty for empty bags."""
 
     def run(batches):
         for batch in batches:
@@ -148,14 +147,12 @@ def signed(docs: DataFrame) -> DataFrame:
                 owner, shingle, weight = bags(data, off)
                 signature = signatures(owner, shingle, weight, n)
                 keys = band_keys(signature)
-                small = mixed(signature.view(np.uint32).astype(np.uint64)).astype(np.uint8)
                 some = np.bincount(owner, minlength=n) > 0
                 ends = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
                 digests = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
                 columns = [
                     part.column("row_id"), part.column("doc_id"), pa.array(digests, pa.string()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].reshape(-1))),
-                    pa.array([x.tobytes() for x in small], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SIGNED.split(", ")])
 
@@ -215,41 +212,91 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs within buckets that belong to different classes, whose signatures agree enough.
+def overlaps(rows: list[np.ndarray], columns: list[np.ndarray], at_once: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of every row set with every column set, by products of 0/1 matrices.
 
-    ``members`` has (band, key, n, node, label, hub, bands, small). Blocks of members meet
-    two by two; a pair is taken in the first band that it shares.
+    Elements that no row set shares with a column set are left out; the rest
+    are taken ``at_once`` a time.
     """
-    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    placed = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
+    out = np.zeros((len(rows), len(columns)), np.float32)
+    left, right = np.concatenate([*rows, np.zeros(0, np.int64)]), np.concatenate([*columns, np.zeros(0, np.int64)])
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    column = np.repeat(np.arange(len(columns)), [len(x) for x in columns])
+    shared = np.intersect1d(left, right)
+    p, q = np.searchsorted(shared, left), np.searchsorted(shared, right)
+    inside = lambda at, x: (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == x) if len(shared) else np.zeros(len(x), bool)
+    on, off = inside(p, left), inside(q, right)
+    p, row, q, column = p[on], row[on], q[off], column[off]
+    for lo in range(0, len(shared), at_once):
+        a, b = np.zeros((len(rows), at_once), np.float32), np.zeros((len(columns), at_once), np.float32)
+        for matrix, at, owner in ((a, p, row), (b, q, column)):
+            own = (at >= lo) & (at < lo + at_once)
+            matrix[owner[own], at[own] - lo] = 1
+        out += a @ b.T
+    return out
+
+
+def joining_links(node: np.ndarray, label: np.ndarray, bag: list[np.ndarray], side: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links between the members with ``side`` 0 and those with ``side`` 1 that join different labels; no more than join them."""
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    both = overlaps([bag[i] for i in left], [bag[j] for j in right])
+    size = np.array([len(x) for x in bag], np.float32)
+    near = both >= similarity * (size[left][:, None] + size[right][None, :] - both) - 1e-6
+    near &= (label[left][:, None] != label[right][None, :]) & (both > 0)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(near)):
+        x, y = root(int(label[left[i]])), root(int(label[right[j]]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(node[left[i]]), int(node[right[j]])))
+    return out
+
+
+def links_beyond_hubs(nodes: DataFrame, bag: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between members of one group of candidates that have different labels.
+
+    ``nodes`` has (node, label, family), a family being documents connected by
+    shared buckets. In each family the members of the largest label are blocks
+    that need no comparison with each other; the loose ones meet those blocks
+    and each other, block by block, on their full bags. A task holds two blocks.
+    """
+    per_label = nodes.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per_label.groupBy("family").agg(
+        F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")
+    ).where((F.col("labels") > 1) & (F.col("n") > 2))
+    block_count = lambda n: F.ceil(n / BLOCK_MEMBERS).cast("int")
+    rows = nodes.join(
+        sizes.select("family", F.col("main.label").alias("main"), block_count(F.col("main.n")).alias("mains"), block_count(F.col("n") - F.col("main.n")).alias("others")),
+        "family",
+    ).withColumn("loose", F.col("label") != F.col("main"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("loose"), F.col("others")).otherwise(F.col("mains"))).cast("int")
+    span = lambda n: F.sequence(F.lit(0), n - 1)
+    place = lambda kind, x, y, side: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
+    # (0, x, y): main block x with loose block y; (1, x, y): loose blocks x <= y
+    with_mains = F.transform(span(F.col("mains")), lambda x: place(0, x, F.col("own"), 1))
+    before = F.transform(F.filter(span(F.col("others")), lambda x: x <= F.col("own")), lambda x: place(1, x, F.col("own"), 1))
+    after = F.transform(F.filter(span(F.col("others")), lambda y: y >= F.col("own")), lambda y: place(1, F.col("own"), y, 0))
+    as_main = F.transform(span(F.col("others")), lambda y: place(0, F.col("own"), y, 0))
+    placed = rows.withColumn("own", own).withColumn(
+        "at", F.explode(F.when(F.col("loose"), F.concat(with_mains, before, after)).otherwise(as_main))
+    )
+    met = placed.select("family", "at.kind", "at.x", "at.y", "at.side", "node", "label").join(bag, "node")
 
     def compare(table: pa.Table) -> pa.Table:
-        node, label, own = (table.column(c).to_numpy() for c in ("node", "label", "own"))
-        band, p, q = (table.column(c)[0].as_py() for c in ("band", "p", "q"))
-        hub = table.column("hub").to_numpy()
-        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        small = np.frombuffer(b"".join(table.column("small").to_pylist()), np.uint8).reshape(-1, COMPONENTS)
-        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        out_a, out_b = [], []
-        for i in left:
-            ok = (label[right] != label[i]) & (node[right] != hub[i]) & (node[i] != hub[i])
-            if p == q:
-                ok &= node[right] > node[i]
-            rest = right[ok]
-            if len(rest):
-                agreement = (small[rest] == small[i]).mean(axis=1)
-                rest = rest[agreement >= LEAST_AGREEMENT]
-                rest = rest[(bands[rest] == bands[i]).argmax(axis=1) == band]
-                out_a.append(np.full(len(rest), node[i]))
-                out_b.append(node[rest])
-        none = [np.zeros(0, np.int64)]
-        a, b = np.concatenate(out_a or none), np.concatenate(out_b or none)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return met.groupBy("band", "key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+        node, label, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
+        cells = table.column("bag").combine_chunks()
+        ends, flat = cells.offsets.to_numpy(), cells.values.to_numpy()
+        links = joining_links(node, label, [flat[a:b] for a, b in zip(ends[:-1], ends[1:])], side, similarity)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return met.groupBy("family", "kind", "x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -272,18 +319,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     bag = full_bags(docs, wanted)
     links = written(verified(pairs, bag, similarity), "bagminhash-links")
     labels = components(links)
-    labelled = to_hub.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    split = labelled.where("node <> hub").groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    doubtful = written(
-        labelled.join(split.select("band", "key"), ["band", "key"], "left_semi").join(
-            nodes.select(F.col("row_id").alias("node"), "bands", "small"), "node"
-        ),
-        "bagminhash-doubtful",
-    )
-    if not doubtful.isEmpty():
-        more = written(verified(cross_pairs(doubtful).join(pairs, ["a", "b"], "left_anti"), bag, similarity), "bagminhash-more")
-        if not more.isEmpty():
-            labels = components(links.union(more))
+    families = components(pairs).withColumnRenamed("label", "family")
+    grouped = families.join(labels, "node", "left").select("node", "family", F.coalesce("label", "node").alias("label"))
+    more = written(links_beyond_hubs(grouped, bag, similarity), "bagminhash-more")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     classed = texts.join(labels.withColumnRenamed("node", "of"), F.col("first.row_id") == F.col("of"), "left").select(
         "digest", "least_id", "first", "copies", F.coalesce("label", "first.row_id").alias("label")
     )
