@@ -221,6 +221,29 @@ def test_signatures_estimate_weighted_jaccard():
     assert np.sqrt(((seen - true) ** 2).mean()) < 1.3 * np.sqrt((true * (1 - true) / bagminhash.COMPONENTS).mean())
 
 
+@pytest.mark.parametrize("kind", ["path", "random", "star", "none"])
+def test_components_equal_union_find(spark, kind):
+    rng = np.random.default_rng(4)
+    names = rng.permutation(400) * 7
+    edges = {
+        "path": [(names[i], names[i + 1]) for i in range(199)], "random": [tuple(rng.choice(names, 2)) for _ in range(260)],
+        "star": [(names[0], x) for x in names[1:]], "none": [],
+    }[kind]
+    edges = [(int(a), int(b)) for a, b in edges if a != b]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    got = bagminhash.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(parent) and {r.node: r.label for r in got} == {x: root(x) for x in parent}
+
+
 def test_near_duplicates_beyond_the_hub(spark):
     """A group of copies edited apart, larger than a block: links between members that are not hubs count too."""
     rng = np.random.default_rng(3)
