@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from harness import compare, duckdb_connection
+from roadlens.plans.catalog import spark_queries
 
 SQL = entry.oracle_sql()
 
@@ -34,6 +35,6 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(spark_queries()) - set(SQL)))
 def test_rows_only_keys_run(spark, sf_dir, name):
     assert entry.queries()[name](spark, sf_dir).count() > 0
