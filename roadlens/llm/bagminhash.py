@@ -195,21 +195,32 @@ def verified(pairs: DataFrame, bag: DataFrame, similarity: float = SIMILARITY) -
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of the component of every node that has an edge.
 
-    Smallest labels are passed along edges, and labels are replaced by their
-    own labels, until nothing changes; every round is a written table.
+    Contraction: every node is hooked to its smallest neighbour, twice over,
+    and edges are drawn anew between what nodes are hooked to, until none is
+    left. The edges shrink from round to round; rounds are written tables.
     """
-    both = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).distinct(), "components-edges")
-    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("node"), F.min("v")).alias("label")), "components-labels")
-    while True:
-        told = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("heard"))
-        nearer = labels.join(told, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
-        jumped = nearer.join(labels.select(F.col("node").alias("label"), F.col("label").alias("further")), "label").select(
-            "node", "old", F.least("label", "further").alias("label")
+    ends = edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct()
+    all_pairs = pairs = written(ends, "components-edges")
+    hooked: DataFrame | None = None
+    while not pairs.isEmpty():
+        smallest = written(pairs.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("to")), "components-smallest")
+        further = smallest.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        hook = written(smallest.join(further, "to", "left").select("node", F.coalesce("far", "to").alias("to")), "components-hooks")
+        if hooked is None:
+            hooked = hook
+        else:
+            moved = hooked.join(hook.select(F.col("node").alias("to"), F.col("to").alias("far")), "to", "left")
+            moved = moved.select("node", F.coalesce("far", "to").alias("to"))
+            hooked = written(moved.unionByName(hook.join(hooked, "node", "left_anti")), "components-hooked")
+        drawn = pairs.join(hook.select(F.col("node").alias("v"), F.col("to").alias("y")), "v").join(
+            hook.select(F.col("node").alias("u"), F.col("to").alias("x")), "u", "left"
         )
-        after = written(jumped, "components-labels")
-        labels = after.select("node", "label")
-        if after.where("old <> label").isEmpty():
-            return labels
+        drawn = drawn.select(F.coalesce("x", "u").alias("x"), "y").where("x <> y")
+        pairs = written(drawn.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct(), "components-edges")
+    nodes = all_pairs.select(F.col("u").alias("node")).union(all_pairs.select("v")).distinct()
+    if hooked is None:
+        return nodes.withColumn("label", F.col("node"))
+    return written(nodes.join(hooked, "node", "left").select("node", F.coalesce("to", "node").alias("label")), "components-labels")
 
 
 def overlaps(rows: list[np.ndarray], columns: list[np.ndarray], at_once: int = 8192) -> np.ndarray:
