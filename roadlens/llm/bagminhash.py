@@ -50,7 +50,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 BLOCK_MEMBERS = 512
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)

@@ -35,7 +35,7 @@ WINDOW = 32
 MIN_CHUNK = 1 << 10
 MAX_CHUNK = 1 << 14
 CUT_MASK = np.uint64((1 << 12) - 1)
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def _gear() -> np.ndarray:

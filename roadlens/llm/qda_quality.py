@@ -33,7 +33,7 @@ from roadlens.llm.token_ids import SPACES, piece_bounds, piece_names
 SHRINKAGE = 0.05
 RIDGE = 1e-2
 KEEP_AT = 0.7
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 
 FEATURES = (
     "log_words", "upper", "digit", "mark", "symbol", "bar", "non_ascii", "word_length", "word_length_spread",
