@@ -8,11 +8,14 @@ the array.
 
 A query descends to its longest matching prefix in every tree and then ascends
 in all trees at once: the prefix is shortened symbol by symbol until the runs
-of all trees together hold ``CANDIDATES`` vectors (at prefix length 0 all). All
-vectors of those runs are compared; nothing in a run is capped. Runs are read
-in blocks of ``BLOCK_ROWS`` rows, so a dense region is spread over tasks, and a
-task returns its best ``SHORTLIST`` by an 8-bit form of the vectors. The best
-of them over all trees are scored in double precision on the original vectors.
+of all trees together hold ``CANDIDATES`` vectors, or one in ``SHARE`` of the
+table if that is more (at prefix length 0 all). All vectors of those runs are
+compared; nothing in a run is capped. Runs are read in blocks of ``BLOCK_ROWS``
+rows, so a dense region is spread over tasks. Blocks are compared by an 8-bit
+form that carries the length of its own error, so every score has bounds: what
+may be among the k best by its upper bound is scored in double precision on the
+original vectors. A query with more than ``CROWD`` such vectors in a block has
+that block scored in double precision inside the task, which returns its best.
 
 Equal vectors are one entry of the index, holding their smallest ids (as many
 as an answer can show), so copies of a vector cost one comparison and lose none.
@@ -37,7 +40,10 @@ TREES = 32
 SYMBOLS = 8
 CANDIDATES = 4096
 BLOCK_ROWS = 8192
-SHORTLIST = 24
+SHARE = 64
+CROWD = 64
+#: Rounding of single precision in scores of unit vectors, with room.
+SLACK = 1e-5
 SEED = 10
 
 VECTORS = "entry long, ids array<long>, vector array<double>"
@@ -91,14 +97,28 @@ def hash_strings(x: np.ndarray, turns: np.ndarray) -> np.ndarray:
 
 
 def quantised(x: np.ndarray) -> np.ndarray:
-    """Unit vectors as signed bytes, scaled to their largest component, with that scale as four bytes."""
-    scale = np.abs(x).max(axis=1, keepdims=True) / 127
-    return np.concatenate([np.rint(x / scale).astype(np.int8).view(np.uint8), scale.astype("<f4").view(np.uint8)], axis=1)
+    """Unit vectors as signed bytes, scaled to their largest component, with that scale and the length of their error as four bytes each."""
+    scale = (np.abs(x).max(axis=1, keepdims=True) / 127).astype("<f4")
+    whole = np.rint(x / scale).astype(np.int8)
+    error = np.linalg.norm(x - whole.astype(np.float64) * scale, axis=1, keepdims=True).astype("<f4")
+    return np.concatenate([whole.view(np.uint8), scale.view(np.uint8), error.view(np.uint8)], axis=1)
 
 
-def unquantised(cells: list[bytes], d: int) -> np.ndarray:
-    raw = np.frombuffer(b"".join(cells), np.uint8).reshape(len(cells), d + 4)
-    return raw[:, :d].copy().view(np.int8).astype(np.float32) * raw[:, d:].copy().view("<f4")
+def unquantised(cells: list[bytes], d: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors and the lengths of their errors."""
+    raw = np.frombuffer(b"".join(cells), np.uint8).reshape(len(cells), d + 8)
+    tail = raw[:, d:].copy().view("<f4")
+    return raw[:, :d].copy().view(np.int8).astype(np.float32) * tail[:, :1], tail[:, 1]
+
+
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of ``a`` with the rows of ``b``, pair by pair."""
+    return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -113,9 +133,7 @@ def build(table: DataFrame, d: int, symbols: int, trees: int, seed: int) -> Data
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
-                x = matrix(part.column("vector"), d)
-                x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
-                x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+                x = unit(matrix(part.column("vector"), d)).astype(np.float32)
                 codes = hash_strings(x, turns)
                 ends = pa.array(np.arange(0, codes.size + 1, trees), pa.int32())
                 small = pa.array([row.tobytes() for row in quantised(x)], pa.binary())
@@ -133,7 +151,7 @@ def search(
     vector: str = "embedding",
     k: int = 5,
     trees: int = TREES,
-    candidates: int = CANDIDATES,
+    candidates: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query row, its own row left out."""
@@ -143,6 +161,9 @@ def search(
     if width is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d = width[0]
+    rows_in_table = table.count()
+    if candidates is None:
+        candidates = max(CANDIDATES, rows_in_table // SHARE)
     bits = symbol_bits(d)
     symbols = max(1, min(SYMBOLS, 62 // bits))
     hashed = build(table, d, symbols, trees, seed)
@@ -154,7 +175,10 @@ def search(
         F.col(id_column).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("vector")
     )
     asked = written(queries.join(table.select("entry", "vector"), "vector").select("query_id", "entry").join(hashed, "entry"), "forest-queries")
-    points = asked.select("entry", "small", "codes").dropDuplicates(["entry"])
+    # Entries a query needs: k, and those that hold its own id, which may have no other row to show.
+    own = table.select(F.explode(F.array_distinct("ids")).alias("query_id")).join(asked.select("query_id").distinct(), "query_id").groupBy("query_id").count()
+    need = asked.select("query_id", "entry").join(own, "query_id", "left").groupBy("entry").agg((F.max(F.coalesce("count", F.lit(1))) + k).cast("int").alias("need"))
+    points = written(asked.select("entry", "small", "codes").dropDuplicates(["entry"]).join(need, "entry"), "forest-points")
 
     # Descend and ascend: the longest prefix at which all trees together hold enough vectors.
     def prefix(c: Column, length: Column) -> Column:
@@ -171,7 +195,7 @@ def search(
         .unionByName(
             # prefix length 0: one run holds everything, the same in every tree
             points.select("entry").join(enough, "entry", "left_anti").select(
-                "entry", F.lit(0).alias("tree"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("prefix"), F.lit(table.count()).alias("n")
+                "entry", F.lit(0).alias("tree"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("prefix"), F.lit(rows_in_table).alias("n")
             )
         ),
         "forest-chosen",
@@ -184,34 +208,79 @@ def search(
     rows = forest.select("entry", "tree", "code", "small", all_lengths).where((F.col("length") > 0) | (F.col("tree") == 0))
     rows = rows.withColumn("prefix", prefix(F.col("code"), F.col("length"))).join(wanted, ["tree", "length", "prefix"])
     rows = rows.select("tree", "length", "prefix", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int").alias("block"), "entry", "small")
-    asking = chosen.join(points.select("entry", "small"), "entry").select(
-        "tree", "length", "prefix", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "entry", "small"
+    asking = chosen.join(points.select("entry", "small", "need"), "entry").select(
+        "tree", "length", "prefix", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "entry", "small", "need"
     )
+    key = ["tree", "length", "prefix", "block"]
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_q, out_e, out_s = [], [], []
+    def compare(at: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
         if left.num_rows and right.num_rows:
-            q = unquantised(left.column("small").to_pylist(), d)
-            e = unquantised(right.column("small").to_pylist(), d)
-            q_id, e_id = left.column("entry").to_numpy(), right.column("entry").to_numpy()
-            n = min(SHORTLIST, len(e_id))
-            for lo in range(0, len(q_id), 512):
-                s = q[lo : lo + 512] @ e.T
-                best = np.argpartition(-s, n - 1, axis=1)[:, :n]
-                out_q.append(np.repeat(q_id[lo : lo + 512], n))
-                out_e.append(e_id[best].reshape(-1))
-                out_s.append(np.take_along_axis(s, best, 1).reshape(-1))
-        empty = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-        cols = [np.concatenate(x or y) for x, y in zip((out_q, out_e, out_s), empty)]
-        return pa.table({"query": cols[0], "entry": cols[1], "near": cols[2].astype(np.float32)})
-
-    key = ["tree", "length", "prefix", "block"]
-    found = asking.groupBy(*key).cogroup(rows.groupBy(*key)).applyInArrow(compare, "query long, entry long, near float")
-    nearest = found.groupBy("query", "entry").agg(F.max("near").alias("near")).groupBy("query").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("near", "entry")), asc=False), 1, SHORTLIST).alias("best")
-    )
-    short = nearest.select("query", F.explode("best.entry").alias("entry"))
-    return rescored(short, table, asked, k)
+            q, q_error = unquantised(left.column("small").to_pylist(), d)
+            e, e_error = unquantised(right.column("small").to_pylist(), d)
+            q_id, e_id, needed = (t.column(c).to_numpy() for t, c in ((left, "entry"), (right, "entry"), (left, "need")))
+            n = int(min(needed.max(), len(e_id)))
+            for lo in range(0, len(q_id), 256):
+                wide = q_error[lo : lo + 256, None] + (1 + q_error[lo : lo + 256, None]) * e_error + np.float32(SLACK)
+                low = q[lo : lo + 256] @ e.T
+                up = low + wide
+                low -= wide
+                best = np.argpartition(-low, n - 1, axis=1)[:, :n]
+                top = -np.sort(-np.take_along_axis(low, best, 1), axis=1)
+                floor = np.take_along_axis(top, np.minimum(needed[lo : lo + 256], n)[:, None] - 1, 1)
+                kept = up >= floor
+                crowded = kept.sum(axis=1) > CROWD
+                # of a crowded block the best by their lower bounds, with the block's largest upper bound
+                kept[crowded] = False
+                np.put_along_axis(kept, best, np.take_along_axis(kept, best, 1) | crowded[:, None], 1)
+                up[crowded] = up[crowded].max(axis=1, keepdims=True)
+                i, j = np.nonzero(kept)
+                out.append((q_id[lo + i], e_id[j], low[i, j], up[i, j], crowded[i]))
+        cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, t) for t in ("i8", "i8", "f4", "f4", "?")]
+        place = [pa.array(np.full(len(cols[0]), x.as_py()), t) for x, t in zip(at, (pa.int32(), pa.int32(), pa.int64(), pa.int32()))]
+        return pa.Table.from_arrays([*map(pa.array, cols), *place], names=["query", "entry", "low", "up", "crowded", *key])
+
+    found = written(
+        asking.groupBy(*key).cogroup(rows.groupBy(*key)).applyInArrow(
+            compare, "query long, entry long, low float, up float, crowded boolean, tree int, length int, prefix long, block int"
+        ),
+        "forest-found",
+    )
+    # No entry below the lower bounds of as many entries as needed can be in the answer.
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("low")))
+    lows = found.groupBy("query", "entry").agg(F.max("low").alias("low")).withColumn("nth", nth)
+    floors = lows.join(points.select(F.col("entry").alias("query"), "need"), "query").where(F.col("nth") == F.col("need")).select("query", F.col("low").alias("floor"))
+    open_ = found.join(floors, "query", "left").where(F.col("floor").isNull() | (F.col("up") >= F.col("floor")))
+    short = open_.where(~F.col("crowded")).select("query", "entry")
+    crowds = written(open_.where("crowded").select("query", *key).distinct(), "forest-crowds")
+    if not crowds.isEmpty():
+        short = short.unionByName(closest_in_crowds(crowds, rows.select(*key, "entry"), points.select("entry", "need"), table, key, d))
+    return rescored(short.distinct(), table, asked, k)
+
+
+def closest_in_crowds(crowds: DataFrame, rows: DataFrame, needs: DataFrame, table: DataFrame, key: list[str], d: int) -> DataFrame:
+    """(query, entry): of every crowded block the entries a query needs, by score in double precision and then by their smallest id."""
+    left = crowds.join(needs.withColumnRenamed("entry", "query"), "query").join(table.select(F.col("entry").alias("query"), F.col("vector").alias("a")), "query")
+    right = rows.join(crowds.select(*key).distinct(), key, "left_semi").join(table.select("entry", F.element_at("ids", 1).alias("first"), F.col("vector").alias("b")), "entry")
+
+    def closest(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_q, out_e = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if left.num_rows and right.num_rows:
+            a, b = (matrix(t.column(c).combine_chunks(), d) for t, c in ((left, "a"), (right, "b")))
+            a_unit, b_unit = unit(a), unit(b)
+            q_id, needed, e_id, first = (t.column(c).to_numpy() for t, c in ((left, "query"), (left, "need"), (right, "entry"), (right, "first")))
+            for i in range(len(q_id)):
+                n = min(int(needed[i]), len(e_id))
+                s = b_unit @ a_unit[i]
+                # all that rounding could bring in, then by the very score the answer shows
+                near = np.flatnonzero(s >= np.partition(s, len(s) - n)[len(s) - n] - 1e-9)
+                score = cosines(np.repeat(a[i : i + 1], len(near), axis=0), b[near])
+                best = near[np.lexsort((first[near], -score))[:n]]
+                out_q.append(np.full(n, q_id[i]))
+                out_e.append(e_id[best])
+        return pa.table({"query": np.concatenate(out_q), "entry": np.concatenate(out_e)})
+
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(closest, "query long, entry long")
 
 
 def rescored(short: DataFrame, table: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -226,8 +295,7 @@ def rescored(short: DataFrame, table: DataFrame, asked: DataFrame, k: int) -> Da
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.array(batch.column(c).to_pylist(), np.float64) for c in ("a", "b"))
-                s = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("ids"), pa.array(s)], names=["query", "ids", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("ids"), pa.array(cosines(a, b))], names=["query", "ids", "score"])
 
     scored = pairs.mapInArrow(cosine, "query long, ids array<long>, score double")
     per_row = scored.join(asked.select(F.col("entry").alias("query"), "query_id"), "query").select(

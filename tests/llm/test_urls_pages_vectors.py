@@ -230,6 +230,20 @@ def test_forest_many_equal_vectors(spark):
         assert r.vec_id == expected[r.rank - 1] and r.score == pytest.approx(1.0)
 
 
+def test_forest_dense_group_of_scaled_and_near_copies(spark):
+    """Hundreds of entries closer to each other than the 8-bit form can tell apart."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=16)
+    near = [base + 1e-3 * rng.normal(size=16) for _ in range(400)]
+    scaled = [2.0 ** (i % 40) * base for i in range(400, 440)]
+    x = [*near, *scaled, *rng.normal(size=(560, 16))]
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in sorted(prefix_forest.search(df, F.col("vec_id") % 50 == 0, trees=4).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r.vec_id)
+    assert dict(got) == nearest_by_force(list(enumerate(x)), range(0, 1000, 50))
+
+
 # -- personal data ----------------------------------------------------------
 
 PATTERNS = {
