@@ -1,18 +1,23 @@
 """Lexical retrieval packing (operator 2).
 
 Documents are encoded and packed into sequences of ``window`` ids so that a
-sequence holds lexically related documents. The corpus is indexed in shards of
-bounded size (``SHARD_TOKENS``), each with a BM25 inverted index over token
-ids; document frequencies and lengths of the whole corpus enter every shard.
+sequence holds lexically related documents. Documents are brought together by a
+shuffle first: each is placed by its two heaviest BM25 terms among those that
+other documents hold too, and the corpus is dealt in ranges of these terms, a
+hot term over as many tasks as it needs (a salt orders equal places). It is
+then indexed in that order in shards of bounded size (``SHARD_TOKENS``), each
+with a BM25 inverted index over token ids; document frequencies and lengths of
+the whole corpus enter every shard.
 In a shard the first unused document seeds a window; the index returns its
-best-scoring unused neighbours, which fill the window greedily, best first.
+best-scoring unused neighbours by all terms of the seed, which fill the window greedily, best first.
 The document that crosses the end of a window is cut there and its rest seeds
 the next window, so windows are full. What a task has left at its end is
 written as pieces of power-of-two lengths, which need no padding.
 
-Two passes: the encoded documents are written to the shared folder with one
+Three passes: the encoded documents are written to the shared folder with one
 row of document frequencies per partition (one count per vocabulary entry),
-and the packing pass reads them. No text or id is shuffled. The collected
+then with their places, and the packing pass reads them in the order of places,
+so encoded documents are shuffled once. The collected
 statistics are one number per vocabulary entry, whatever the corpus.
 
 Defined cases: null text has its end id alone; documents longer than a window
@@ -35,7 +40,6 @@ from roadlens.llm.token_ids import encoder
 
 WINDOW = 2048
 SHARD_TOKENS = 2_000_000
-QUERY_TERMS = 24
 NEIGHBOURS = 64
 BATCH_BYTES = 2 << 20
 K1, B = 1.2, 0.75
@@ -82,8 +86,8 @@ def _row_batch(doc_ids, sizes, cells, counts) -> pa.RecordBatch:
     )
 
 
-def corpus_statistics(encoded: DataFrame, vocabulary: int) -> tuple[np.ndarray, float]:
-    """BM25 idf of every vocabulary entry and the mean document length, over all documents.
+def corpus_statistics(encoded: DataFrame, vocabulary: int) -> tuple[np.ndarray, float, np.ndarray]:
+    """BM25 idf of every vocabulary entry, the mean document length, and which entries several documents hold.
 
     The partitions' count vectors are added in the tasks that read them and
     reach the driver as one vector per reading task.
@@ -111,7 +115,36 @@ def corpus_statistics(encoded: DataFrame, vocabulary: int) -> tuple[np.ndarray,
             ids = n
         else:
             df[term] = n
-    return np.log1p((docs - df + 0.5) / (df + 0.5)), ids / max(docs, 1)
+    return np.log1p((docs - df + 0.5) / (df + 0.5)), ids / max(docs, 1), df > 1
+
+
+PLACED = "doc_id long, ids binary, first int, second int"
+
+
+def placed_documents(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, mean_length: float, shared: np.ndarray) -> DataFrame:
+    """The written table of documents with their heaviest and second heaviest BM25 term that other documents hold (-1 if none)."""
+
+    def run(batches):
+        for batch in batches:
+            for piece in small_slices(batch, "ids", BATCH_BYTES):
+                texts = [np.frombuffer(raw.as_buffer(), kind) for raw in piece.column("ids")]
+                sizes = np.array([len(t) for t in texts], np.int64)
+                owner = np.repeat(np.arange(len(texts)), sizes)
+                keys, tf = np.unique(owner * len(idf) + np.concatenate(texts), return_counts=True)
+                owner, term = np.divmod(keys, len(idf))
+                several = shared[term]
+                owner, term, tf = owner[several], term[several], tf[several]
+                norm = K1 * (1 - B + B * sizes / max(mean_length, 1e-9))
+                by_doc = np.lexsort((term, -idf[term] * tf * (K1 + 1) / (tf + norm[owner]), owner))
+                begin = np.searchsorted(owner, np.arange(len(texts) + 1))
+                place = np.full((2, len(texts)), -1, np.int32)
+                for k in (0, 1):
+                    has = begin[:-1] + k < begin[1:]
+                    place[k, has] = term[by_doc[begin[:-1][has] + k]]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("ids"), *map(pa.array, place)], names=["doc_id", "ids", "first", "second"])
+
+    rows = encoded.where(F.col("counts").isNull()).select("doc_id", "ids")
+    return written(rows.mapInArrow(run, PLACED), "packing-placed")
 
 
 class ShardIndex:
@@ -131,18 +164,17 @@ class ShardIndex:
         self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm[self.owner])).astype(np.float32)
         self.begin = np.searchsorted(term, np.arange(vocabulary + 1))
         self.idf = idf
-        by_doc = np.lexsort((-self.weight, self.owner))
-        self.top_terms = term[by_doc]
+        by_doc = np.argsort(self.owner, kind="stable")
+        self.terms = term[by_doc]
         self.doc_begin = np.searchsorted(self.owner[by_doc], np.arange(n + 1))
         self.unused = np.ones(n, bool)
 
     def neighbours(self, doc: int) -> np.ndarray:
-        """Unused documents by falling score for the strongest terms of ``doc``; ties to the earlier."""
-        scores = np.zeros(len(self.unused), np.float32)
-        lo = self.doc_begin[doc]
-        for t in self.top_terms[lo : min(lo + QUERY_TERMS, self.doc_begin[doc + 1])].tolist():
-            a, b = self.begin[t], self.begin[t + 1]
-            scores[self.owner[a:b]] += self.weight[a:b]
+        """Unused documents by falling score for all terms of ``doc``; ties to the earlier."""
+        terms = self.terms[self.doc_begin[doc] : self.doc_begin[doc + 1]]
+        sizes = self.begin[terms + 1] - self.begin[terms]
+        at = np.arange(sizes.sum()) + np.repeat(self.begin[terms] - np.cumsum(sizes) + sizes, sizes)
+        scores = np.bincount(self.owner[at], self.weight[at], len(self.unused))
         scores *= self.unused
         k = min(NEIGHBOURS, len(scores) - 1)
         best = np.argpartition(-scores, k)[: k + 1] if k > 0 else np.arange(len(scores))
@@ -180,8 +212,9 @@ def order_by_retrieval(index: ShardIndex, sizes: list[int], window: int, room: i
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, window: int = WINDOW) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     encoded = encode_documents(docs, tokenizer_path, end_id, vocabulary)
-    idf, mean_length = corpus_statistics(encoded, vocabulary)
+    idf, mean_length, shared = corpus_statistics(encoded, vocabulary)
     kind = np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
+    placed = placed_documents(encoded, kind, idf, mean_length, shared)
 
     def run(batches):
         from pyspark import TaskContext
@@ -226,7 +259,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary
         if open_pieces:
             yield emit(plain(powers_of_two(open_pieces, sequence)))
 
-    return encoded.where(F.col("counts").isNull()).select("doc_id", "ids").mapInArrow(run, PIECES)
+    place = ["first", "second", F.xxhash64("doc_id", "ids")]
+    return placed.repartitionByRange(*place).sortWithinPartitions(*place).select("doc_id", "ids").mapInArrow(run, PIECES)
 
 
 def powers_of_two(pieces: list[tuple], sequence: int) -> list[tuple]:

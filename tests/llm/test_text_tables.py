@@ -128,6 +128,25 @@ def test_packing_puts_related_documents_together():
     assert same > 0.85  # 0.2 if documents came in table order
 
 
+def test_packing_brings_related_documents_of_all_files_together(spark):
+    """Every file holds one document of each of eight subjects."""
+    rng = np.random.default_rng(3)
+    subjects = [[f"{name}{i}" for i in range(12)] for name in ("harbour", "violin", "granite", "orchard", "cricket", "enzyme", "senate", "glacier")]
+    data = [(i, " ".join(rng.choice(subjects[i % 8], 60))) for i in range(320)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(data, 40), "doc_id long, text string")
+    held = collections.defaultdict(list)
+    for p in bm25_packing.pack_documents(df, WORD_BPE, 1, queries.WORD_BPE_SIZE).collect():
+        held[p.sequence_id].append((p.offset, p.doc_id))
+    pairs = [(a % 8, b % 8) for own in held.values() for (_, a), (_, b) in zip(sorted(own), sorted(own)[1:])]
+    assert np.mean([a == b for a, b in pairs]) > 0.8  # about 0.1 if each file is packed alone
+
+
+def test_packing_scores_all_terms_of_the_seed():
+    texts = [np.repeat(np.arange(40), [3] * 39 + [1]), np.array([39, 39, 41]), np.array([42, 43])]
+    index = bm25_packing.ShardIndex(texts, np.ones(50), 50.0)
+    assert index.neighbours(0).tolist() == [0, 1]
+
+
 # -- token files ------------------------------------------------------------
 
 
