@@ -7,7 +7,7 @@ Built from DataFrame functions alone.
    Positions come from the lengths of the matches and of the text between them
    (``split``), added up inside the row, so texts are not shuffled.
 2. Protected entities are the span texts. For every line that holds one, the
-   words of the line are its context. With ``n`` lines in the corpus, a word t
+   words of the line outside base spans are its context. With ``n`` lines in the corpus, a word t
    and an entity e have ``PMI(e; t) = log2(n * n(t, e) / (n(t) * n(e)))`` from
    counts over all lines of all documents; e itself carries
    ``IC(e) = -log2(n(e) / n)`` bits. A word that appears with e in at least
@@ -137,8 +137,8 @@ def joined(spans: Column) -> Column:
 def with_base_spans(docs: DataFrame) -> DataFrame:
     """(row_id, doc_id, spans, lines): the written table of base spans and of the lines that hold any.
 
-    ``lines`` has (start, line, entities) with the distinct span texts of each
-    line; spans never cross a line break.
+    ``lines`` has (start, line, entities, words) with the distinct span texts and
+    the distinct words outside base spans of each line; spans never cross a line break.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     spanned = rows.withColumn("spans", base_spans(F.col("text")))
@@ -146,19 +146,27 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
     ends = running_sum(F.transform(pieces, lambda x: F.char_length(x).cast("long") + 1))
     lines = F.zip_with(pieces, ends, lambda x, end: F.struct((end - 1 - F.char_length(x)).alias("start"), x.alias("line")))
     has = lambda s, line: (s["start"] >= line["start"]) & (s["start"] < line["start"] + F.char_length(line["line"]))
-    held = F.transform(lines, lambda line: F.struct(
+    own = F.transform(lines, lambda line: F.struct(
+        line["start"].alias("start"), line["line"].alias("line"), F.filter(F.col("spans"), lambda s: has(s, line)).alias("spans")
+    ))
+
+    def outside(line: Column) -> Column:
+        meets = lambda w, s: (s["start"] < line["start"] + w["end"]) & (line["start"] + w["start"] < s["end"])
+        free = F.filter(found(line["line"], WORD), lambda w: ~F.exists(line["spans"], lambda s: meets(w, s)))
+        return F.array_distinct(F.transform(free, lambda w: F.lower(w["value"])))
+
+    some = F.transform(F.filter(own, lambda line: F.size(line["spans"]) > 0), lambda line: F.struct(
         line["start"].alias("start"), line["line"].alias("line"),
-        F.array_distinct(F.transform(F.filter(F.col("spans"), lambda s: has(s, line)), lambda s: F.lower(s["value"]))).alias("entities"),
+        F.array_distinct(F.transform(line["spans"], lambda s: F.lower(s["value"]))).alias("entities"), outside(line).alias("words"),
     ))
-    some = F.filter(held, lambda line: F.size(line["entities"]) > 0)
-    none = F.array().cast("array<struct<start:bigint,line:string,entities:array<string>>>")
+    none = F.array().cast("array<struct<start:bigint,line:string,entities:array<string>,words:array<string>>>")
     return written(spanned.select("row_id", "doc_id", "spans", F.when(F.size("spans") > 0, some).otherwise(none).alias("lines")), "disclosure-spans")
 
 
 def contexts(spanned: DataFrame) -> DataFrame:
-    """(row_id, start, line, entity): each line with each entity that it holds."""
-    lines = spanned.select("row_id", F.explode("lines").alias("l")).select("row_id", "l.start", "l.line", "l.entities")
-    return lines.select("row_id", "start", "line", F.explode("entities").alias("entity"))
+    """(row_id, start, line, words, entity): each line with each entity that it holds."""
+    lines = spanned.select("row_id", F.explode("lines").alias("l")).select("row_id", "l.start", "l.line", "l.words", "l.entities")
+    return lines.select("row_id", "start", "line", "words", F.explode("entities").alias("entity"))
 
 
 def words_of(line: Column) -> Column:
@@ -170,22 +178,25 @@ def disclosing_words(docs: DataFrame, spanned: DataFrame, min_contexts: int = MI
     """(entity, word, pmi, ic): the words that disclose an entity, from counts over the whole corpus."""
     held = contexts(spanned)
     entity_lines = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = held.select("entity", F.xxhash64("line").alias("line_id"), F.explode(words_of(F.col("line"))).alias("word"))
+    pairs = held.select("entity", F.xxhash64("line").alias("line_id"), F.explode("words").alias("word"))
     # first per line text, then per pair: a line that thousands of copies hold meets as one row
     together = pairs.groupBy("entity", "word", "line_id").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "word").agg(
         F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_contexts")
     )
-    candidates = written(
-        together.where(F.col("n_contexts") >= min_contexts).where(~F.contains(F.col("entity"), F.col("word"))), "disclosure-candidates"
-    )
+    candidates = written(together.where(F.col("n_contexts") >= min_contexts), "disclosure-candidates")
     lines = docs.select(F.explode(F.split(text_or_empty(), "\n", -1)).alias("line"))
     asked = candidates.select("word").distinct()
     per_word = lines.select(F.explode(words_of(F.col("line"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_word"))
+    # lines whose only such words are parts of base spans do not count
+    inside = spanned.select(F.explode("lines").alias("l")).select(F.explode(F.array_except(words_of(F.col("l.line")), F.col("l.words"))).alias("word"))
+    per_inside = inside.join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_inside"))
     n_lines = docs.agg(F.sum(F.size(F.split(text_or_empty(), "\n", -1)))).first()[0] or 1
     bits = lambda x: F.log2(x.cast("double"))
     n = F.lit(n_lines)
     scored = (
         candidates.join(per_word.join(asked, "word", "left_semi"), "word")
+        .join(per_inside, "word", "left")
+        .withColumn("n_word", F.col("n_word") - F.coalesce("n_inside", F.lit(0)))
         .join(entity_lines, "entity")
         .withColumn("pmi", bits(n) + bits(F.col("n_both")) - bits(F.col("n_word")) - bits(F.col("n_entity")))
         .withColumn("ic", bits(n) - bits(F.col("n_entity")))

@@ -346,6 +346,19 @@ def test_disclosing_words(spark, told_rows):
     assert "Quirin" not in text and "jo@x.org" not in text and "<EMAIL>" in text and "<TERM>" in text and text.startswith("Common words")
 
 
+def test_words_that_are_part_of_the_entity_disclose_it(spark):
+    texts = [f"ask Anna Smith, anna.smith@mail.org for {i}" for i in range(5)] + ["write to anna.smith@mail.org"] * 2
+    texts += [f"ask the office for {i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in disclosure.sanitise_spans(df).collect()}
+    for i, text in enumerate(texts):
+        marked = [text[s.start : s.end] for s in out[i].spans if s.kind == "term"]
+        assert marked == (["Anna", "Smith"] if i < 5 else [])
+    spanned = disclosure.with_base_spans(df)
+    got = {r.word: (r.pmi, r.ic) for r in disclosure.disclosing_words(df, spanned).collect()}
+    assert set(got) == {"anna", "smith"} and all(pmi == pytest.approx(ic) for pmi, ic in got.values())
+
+
 def test_disclosure_awkward_rows(spark):
     rows = [(1, None), (1, None), (None, "a@b.cc\na@b.cc"), (2, ""), (3, "line\n" * 20_000 + "q@r.ss" + " 1.2.3.4" * 2_000)]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, spans string, row_id int")
