@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bagminhash, bitplane_files, bm25_packing, chunk_dedup, disclosure, prefix_forest, qda_quality, source_mix, url_filter, wrappers
+from roadlens.llm import (
+    bagminhash,
+    bitplane_files,
+    bm25_packing,
+    charpoly_whitening,
+    chunk_dedup,
+    disclosure,
+    prefix_chat,
+    prefix_forest,
+    qda_quality,
+    source_mix,
+    url_filter,
+    wrappers,
+)
 from roadlens.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -80,6 +93,22 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.search(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_charpoly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    white = charpoly_whitening.whiten(vectors)
+    # where an exact deviation exceeds a long, the column is null
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_prefix_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    ok = "</s>[INST] ok [/INST]"
+    told = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ok).alias("text")
+    )
+    return prefix_chat.digests(prefix_chat.format_conversations(turns.unionByName(told)))
+
+
 SPARK = {
     "op1_wrappers": op1_wrappers,
     "op2_packing": op2_packing,
@@ -91,6 +120,8 @@ SPARK = {
     "op8_disclosure": op8_disclosure,
     "op9_mix": op9_mix,
     "op10_forest": op10_forest,
+    "op11_charpoly": op11_charpoly,
+    "op13_prefix_chat": op13_prefix_chat,
 }
 
 SQL = {
@@ -99,4 +130,26 @@ SQL = {
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
     """,
+    "op13_prefix_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        e AS (
+            SELECT *, regexp_replace(replace(role, '\', '\\'), c, '\1\\\2', 'g') AS r, regexp_replace(replace(text, '\', '\\'), c, '\1\\\2', 'g') AS x
+            FROM t, (SELECT '(<|\[)(\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\])' AS c)
+        ),
+        s AS (SELECT *, '<|im_start|>' || r || '<|im_sep|>' || x || '<|im_end|>' AS segment FROM e),
+        p AS (
+            SELECT *, sum(length(segment)) OVER w AS stop, row_number() OVER w AS nth, count(*) OVER (PARTITION BY conv_id) AS n
+            FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, segment ROWS UNBOUNDED PRECEDING)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               (sum(stop) FILTER (role = 'assistant' OR nth = n))::BIGINT AS formatted_chars
+        FROM p GROUP BY conv_id
+    """,
 }
