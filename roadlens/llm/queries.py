@@ -12,6 +12,7 @@ from roadlens.llm import (
     bm25_packing,
     charpoly_whitening,
     chunk_dedup,
+    cover_negatives,
     disclosure,
     prefix_chat,
     prefix_forest,
@@ -100,6 +101,13 @@ def op11_charpoly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return white.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return cover_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, moved)
+
+
 def op13_prefix_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     ok = "</s>[INST] ok [/INST]"
@@ -121,6 +129,7 @@ SPARK = {
     "op9_mix": op9_mix,
     "op10_forest": op10_forest,
     "op11_charpoly": op11_charpoly,
+    "op12_cover_tree": op12_cover_tree,
     "op13_prefix_chat": op13_prefix_chat,
 }
 
@@ -130,6 +139,27 @@ SQL = {
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
     """,
+    "op12_cover_tree": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
     "op13_prefix_chat": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
