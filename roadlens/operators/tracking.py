@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.functions.geometry import box, centroid_x, centroid_y
 from roadlens.schemas import TRACKED
 
 _BOX = ["x1", "y1", "x2", "y2"]
@@ -168,20 +169,37 @@ def track_ids(vehicle_boxes: DataFrame, frame_skip: int = 2, iou_threshold: floa
 def track_history(tracks: DataFrame, frame_skip: int = 2) -> DataFrame:
     """Per track row: position in the track's history and its centroid.
 
-    A track has no gaps, so the history length at a frame is
-    ``(frame_id - first_frame) / skip + 1``; the first frame comes from a
-    per-track aggregate joined back, so no track is gathered into one list, and
-    adaptive execution may split the join where a track is long.
+    ``tracks`` are rows of ``chunked_tracking.tracked_rows``. A track has no
+    gaps, so the history length at a frame is ``(frame_id - first_frame) / skip
+    + 1``: a per-row expression, no group.
     """
-    first = tracks.groupBy("video_id", "track_id").agg(F.min("frame_id").alias("_first"))
-    return (
-        tracks.join(first, ["video_id", "track_id"])
-        .select(
-            "video_id",
-            "track_id",
-            "frame_id",
-            ((F.col("frame_id") - F.col("_first")) / F.lit(frame_skip) + 1).cast("bigint").alias("history_len"),
-            ((F.col("x1") + F.col("x2")) / 2.0).alias("cx"),
-            ((F.col("y1") + F.col("y2")) / 2.0).alias("cy"),
-        )
+    return tracks.select(
+        "video_id",
+        "track_id",
+        "frame_id",
+        ((F.col("frame_id") - F.col("first_frame")) / F.lit(frame_skip) + 1).cast("bigint").alias("history_len"),
+        centroid_x(box()).alias("cx"),
+        centroid_y(box()).alias("cy"),
+    )
+
+
+def track_paths(tracks: DataFrame) -> DataFrame:
+    """One row per ended track: its frames and its whole history of centroids.
+
+    ``tracks`` are rows of ``chunked_tracking.tracked_rows``. The points of a
+    track are gathered per chunk first, so a long track is put together from
+    pieces of at most a chunk's frames, and rows meet their track in parallel.
+    """
+    point = F.struct("frame_id", centroid_x(box()).alias("cx"), centroid_y(box()).alias("cy"))
+    pieces = tracks.groupBy("video_id", "track_id", "chunk").agg(F.array_sort(F.collect_list(point)).alias("piece"))
+    whole = pieces.groupBy("video_id", "track_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "piece"))).alias("pieces"))
+    path = whole.select("video_id", "track_id", F.flatten("pieces.piece").alias("path"))
+    return path.select(
+        "video_id",
+        "track_id",
+        F.element_at("path", 1)["frame_id"].alias("first_frame"),
+        F.element_at("path", -1)["frame_id"].alias("last_frame"),
+        F.size("path").cast("bigint").alias("points"),
+        F.col("path.cx").alias("path_x"),
+        F.col("path.cy").alias("path_y"),
     )

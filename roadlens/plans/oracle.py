@@ -28,12 +28,16 @@ FROM events
 """
 
 DETECTIONS = """
-WITH f AS (SELECT event_id // 2100 AS video_id, event_id, (event_id // 7) % 300 AS frame_id, event_id % 7 AS slot
-  FROM events WHERE (event_id % 1000) * 7919 % 20 <> 0),
+WITH e AS (SELECT event_id, event_id // 2100 AS part, (event_id // 2100) % 3 = 1 AS crowd, event_id // 6300 AS stretch FROM events),
+f AS (SELECT CASE WHEN crowd THEN 1000000000 + stretch // 4096 ELSE part END AS video_id, event_id, crowd,
+  (event_id // 7) % 300 + CASE WHEN crowd THEN stretch % 4096 * 300 ELSE 0 END AS frame_id, event_id % 7 AS slot
+  FROM e WHERE (event_id % 1000) * 7919 % 20 <> 0),
 b AS (SELECT video_id, event_id, frame_id, slot,
   CASE WHEN slot IN (2, 3, 4, 5) THEN 400 + frame_id * 6 + (event_id % 4) * 30
+       WHEN crowd AND slot = 0 THEN 900 + frame_id * 6 + frame_id * 5 % 37
+       WHEN crowd AND slot = 1 THEN 910 + frame_id * 6 + frame_id * 7 % 41
        WHEN slot = 0 THEN 870 + frame_id * 14 WHEN slot = 1 THEN 400 + frame_id * 6 ELSE 900 + frame_id * 6 END AS x,
-  CASE WHEN slot IN (2, 3, 4, 5) THEN 90 WHEN slot = 6 THEN 160 WHEN slot = 0 THEN 165 ELSE 100 END AS y,
+  CASE WHEN slot IN (2, 3, 4, 5) THEN 90 WHEN slot = 6 THEN 160 WHEN slot = 0 THEN 165 WHEN crowd THEN 150 ELSE 100 END AS y,
   CASE WHEN slot IN (2, 3, 4) THEN 30 WHEN slot = 5 THEN 12 WHEN slot = 6 THEN 140 ELSE 80 END AS w,
   CASE WHEN slot = 5 THEN 12 ELSE 60 END AS h FROM f)
 SELECT CAST(video_id AS BIGINT) AS video_id, frame_id, CAST(slot AS INT) AS det_id,

@@ -73,7 +73,7 @@ def duck_rows(con, sql):
 SPARK_TO_DUCK = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
     "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<int>": "INTEGER[]",
-    "float": "FLOAT", "date": "DATE",
+    "float": "FLOAT", "array<double>": "DOUBLE[]", "date": "DATE",
 }
 
 

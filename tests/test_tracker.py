@@ -153,18 +153,21 @@ def crowded_video(rng, n_frames, skip):
     return frames
 
 
-@pytest.mark.parametrize(
-    "seed,chunk", [(11, 3), (12, 5), (13, 4), (14, 7)]
-)
-def test_chunked_tracker_matches_model(spark, seed, chunk):
+def stacked_video(rng, n_frames, skip):
+    """Equal boxes on one spot: every track wants every box, so each step needs the whole order."""
+    return {f: [(0, 0, 10, 10)] * rng.randint(5, 8) for f in range(0, n_frames * skip, skip) if rng.random() < 0.97}
+
+
+@pytest.mark.parametrize("seed,chunk,fan", [(11, 3, 2), (12, 5, 64), (13, 4, 3), (14, 7, 64)])
+def test_chunked_tracker_matches_model(spark, seed, chunk, fan):
     from roadlens.operators.chunked_tracking import track_ids_chunked
 
     rng = random.Random(seed)
     skip, thr = 2, 0.3
-    videos = {v: (crowded_video(rng, 50, skip) if v % 2 else random_video(rng, 50, skip)) for v in range(4)}
+    videos = {v: (crowded_video, random_video, stacked_video)[v % 3](rng, 50, skip) for v in range(5)}
     df = spark.createDataFrame(to_rows(videos), DETECTIONS)
     got = {(r.video_id, r.frame_id, r.det_id): r.track_id
-           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk).collect()}
+           for r in track_ids_chunked(df, skip, thr, chunk_frames=chunk, fan=fan).collect()}
     want = {}
     for v, frames in videos.items():
         for (f, i), tid in model_track(frames, skip, thr).items():
@@ -172,6 +175,100 @@ def test_chunked_tracker_matches_model(spark, seed, chunk):
     assert got == want
 
 
+def chunks_in_python(frames, skip, thr, chunk, fan):
+    """The group functions of the chunked tracker on one video, without Spark: ({row: birth key}, all pieces)."""
+    import json
+
+    import pandas as pd
+
+    from roadlens.operators import chunked_tracking as ct
+
+    span = chunk * skip
+    df = pd.DataFrame([(0, f, i, "car", 0.9, *b) for f, boxes in frames.items() for i, b in enumerate(boxes)], columns=ct._COLS)
+    df["chunk"] = df["frame_id"] // span
+    seeds = df[df["frame_id"] % span == span - skip].assign(_seed=True)
+    seeds["chunk"] += 1
+    run = ct._run_chunk(skip, thr, chunk)
+    parts = {c: run(g) for c, g in pd.concat([df.assign(_seed=False), seeds]).groupby("chunk")}
+    parts = {c: g for c, g in parts.items() if len(g)}
+    ranges = pd.DataFrame([(0, c, g["seeds"][0], g["pieces"][0]) for c, g in parts.items()], columns=["video_id", "node", "seeds", "pieces"])
+    levels = [ranges]
+    while levels[-1]["node"].max() >= fan:
+        levels.append(pd.concat([ct._composed((0, k), g) for k, g in levels[-1].groupby(levels[-1]["node"] // fan)]))
+    starts = ct._walked(0, levels.pop(), pd.DataFrame(columns=["seed", "first_frame", "first_det"]))
+    for level in reversed(levels):
+        starts = pd.concat([ct._walked(0, g, starts[starts["node"] == k]) for k, g in level.groupby(level["node"] // fan)])
+    out = {}
+    for c, part in parts.items():
+        known = starts[starts["node"] == c].sort_values("seed")
+        keys = list(known[["first_frame", "first_det"]].itertuples(index=False, name=None))
+        rows = part[~part["open"]]
+        if part["open"].any():
+            mine = seeds[seeds["chunk"] == c].sort_values("det_id").assign(first_frame=[k[0] for k in keys], first_det=[k[1] for k in keys])
+            rows = pd.concat([rows, ct._run_ordered(skip, thr)(pd.concat([part[part["open"]][[*ct._COLS, "chunk"]].assign(_seed=False), mine]))])
+        for r in rows.itertuples():
+            out[(r.frame_id, r.det_id)] = keys[r.seed] if r.seed >= 0 else (r.born_frame, r.born_det)
+    return out, [p for text in ranges["pieces"] for p in json.loads(text)]
+
+
+@pytest.mark.parametrize("limit", [1, 2, 8, 256])
+def test_order_transfer_matches_model_at_any_limit(monkeypatch, limit):
+    """Small limits keep ranges in several pieces and bare steps; the ids stay the same."""
+    from roadlens.operators import order_transfer
+
+    monkeypatch.setattr(order_transfer, "LIMIT", limit)
+    mazes = steps = 0
+    for seed in range(24):
+        rng = random.Random(seed)
+        frames = (crowded_video, crowded_video, random_video, stacked_video)[seed % 4](rng, 40, 2)
+        want = model_track(frames, 2, 0.3)
+        got, pieces = chunks_in_python(frames, 2, 0.3, rng.choice([1, 3, 5, 8]), rng.choice([2, 3, 64]))
+        number = {key: i for i, key in enumerate(sorted(set(got.values())))}
+        assert {row: number[key] for row, key in got.items()} == want
+        mazes += sum(len(p.get("mazes", [])) for p in pieces)
+        steps += sum("prefs" in p for p in pieces)
+    assert steps > 0 and (mazes > 0 or limit == 1)
+
+
+def test_composition_equals_evaluation_in_turn():
+    from roadlens.operators import order_transfer as ot
+
+    for seed in range(40):
+        rng = random.Random(seed)
+        frames = crowded_video(rng, 30, 2)
+        _, pieces = chunks_in_python(frames, 2, 0.3, 4, 64)
+        for at in range(len(pieces) - 1):
+            run = pieces[at : at + 3]
+            keys = [(rng.randint(-9, 0), i) for i in range(run[0]["n"])]
+            rng.shuffle(keys)
+            want = keys
+            for piece in run:
+                want = ot.evaluate(piece, want if piece["n"] else [])
+            got = keys
+            for piece in ot.compose(run):
+                got = ot.evaluate(piece, got if piece["n"] else [])
+            assert got == want
+
+
+def test_offsets_are_prefix_sums_over_groups(spark):
+    from roadlens.operators.chunked_tracking import running_offsets
+
+    rows = [(v, c, (c * 7 + v) % 5) for v in (1, 2) for c in range(0, 50, 1 + v)]
+    got = {(r.video_id, r.chunk): r.offset for r in running_offsets(spark.createDataFrame(rows, "video_id long, chunk long, n long"), 8).collect()}
+    assert got == {(v, c): sum(n for w, k, n in rows if w == v and k < c) for v, c, _ in rows}
+
+
+def test_paths_hold_every_point_once(spark, sf_dir):
+    from roadlens.operators.chunked_tracking import tracked_rows
+    from roadlens.operators.tracking import track_paths
+    from roadlens.plans.detections import vehs
+
+    rows = tracked_rows(vehs(spark, sf_dir), chunk_frames=3).cache()
+    paths = track_paths(rows).collect()
+    assert sum(p.points for p in paths) == rows.count() and all(p.points == (p.last_frame - p.first_frame) // 2 + 1 for p in paths)
+    assert max(p.points for p in paths) > 3  # longer than a chunk
+
+
 def test_chunked_equals_sequential_on_fixture(spark, sf_dir):
     from roadlens.operators import detections as dt
     from roadlens.operators.chunked_tracking import track_ids_chunked
