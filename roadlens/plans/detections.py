@@ -16,8 +16,11 @@ from roadlens.operators import detections as dt
 from roadlens.operators import tracking as tk
 from roadlens.operators.chunked_tracking import track_ids_chunked, tracked_rows
 from roadlens.plans.oracle import DETECTIONS, with_views
+from roadlens.schemas import DETECTIONS as DETECTION_SCHEMA
 from roadlens.schemas import TRACKED
+from roadlens.session import scratch_path
 from roadlens.sources.adapters import raw_detections
+from roadlens.streaming.live_tracks import run_available
 
 P = dt.DetectionParams()
 KEYS = ["video_id", "frame_id", "track_id"]
@@ -96,6 +99,20 @@ def _rates(s, d):
     return videos.select("video_id", F.when(F.col("video_id") % 2 == 1, 30.0).alias("fps"))
 
 
+def _stream_tracks(s, d):
+    """The live tracker in two runs: the first ends inside a frame of each video, the second brings the rest and the ends."""
+    boxes = vehs(s, d)
+    ends = boxes.groupBy("video_id").agg((F.floor(F.max("frame_id") / (2 * P.frame_skip)) * P.frame_skip).alias("middle"))
+    dealt = boxes.join(ends, "video_id")
+    early = (F.col("frame_id") < F.col("middle")) | ((F.col("frame_id") == F.col("middle")) & (F.col("det_id") == 0))
+    marks = ends.select("video_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in DETECTION_SCHEMA.fields if f.name != "video_id"])
+    source, target, checkpoint = (scratch_path(s, f"live-{x}") for x in ("boxes", "tracks", "check"))
+    for part in (dealt.where(early), dealt.where(~early).unionByName(marks, allowMissingColumns=True)):
+        part.select(*DETECTION_SCHEMA.names).write.mode("append").parquet(source)
+        run_available(s, source, target, checkpoint, P.frame_skip, P.iou_threshold)
+    return s.read.schema(TRACKED).parquet(target)
+
+
 SPARK = {
     "scan_detections": det,
     "sample_frames": lambda s, d: dt.sample_frames(det(s, d), P.frame_skip),
@@ -134,6 +151,7 @@ SPARK = {
     "track_ids": tracked,
     "track_history": lambda s, d: tk.track_history(_born(s, d), P.frame_skip),
     "track_paths": lambda s, d: tk.track_paths(_born(s, d)),
+    "stream_tracks": _stream_tracks,
     "detect_violations": detect_violations,
 }
 
@@ -370,6 +388,7 @@ SQL = {
         _full(),
     ),
     "track_ids": _tracked_q(f"SELECT {', '.join(TRACKED.names)} FROM trk"),
+    "stream_tracks": _tracked_q(f"SELECT {', '.join(TRACKED.names)} FROM trk"),
     "track_history": _tracked_q("SELECT * FROM history", history=HISTORY),
     "track_paths": _tracked_q(
         "SELECT video_id, track_id, min(frame_id) AS first_frame, max(frame_id) AS last_frame, count(*) AS points, "

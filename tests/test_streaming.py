@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadlens.operators import clean as cl
 from roadlens.operators import detections as dt
 from roadlens.operators.tracking import track_ids
-from roadlens.schemas import DETECTIONS
+from roadlens.schemas import DETECTIONS, TRACKED
 from roadlens.session import scratch_path
 from roadlens.sinks.writers import write_csv
 from roadlens.sources.adapters import raw_detections, raw_violations
@@ -141,3 +141,53 @@ def test_clean_stream_json_epoch_millis(spark, tmp_path):
     rows = spark.read.parquet(good).collect()
     assert [(r["Violation_ID"], str(r["Timestamp"])) for r in rows] == [("x", "2024-01-02 03:04:05")]
     assert [r["reason"] for r in spark.read.parquet(bad).collect()] == ["bad_timestamp"]
+
+
+def _boxes(spark, rows):
+    """(video, frame, det, x) -> detection rows of 10 x 10 boxes; det None ends the video."""
+    full = [(v, f, d, "car", 0.9, x, 0, None if x is None else x + 10, 10) for v, f, d, x in rows]
+    return spark.createDataFrame(full, DETECTIONS)
+
+
+def test_live_tracks_late_rows_split_frames_and_ends(spark):
+    from roadlens.streaming.live_tracks import run_available
+
+    source, target, check = (scratch_path(spark, f"live-{x}") for x in ("in", "out", "check"))
+
+    def feed(rows):
+        _boxes(spark, rows).write.mode("append").parquet(source)
+        run_available(spark, source, target, check)
+        return sorted((r.video_id, r.frame_id, r.det_id, r.track_id) for r in spark.read.schema(TRACKED).parquet(target).collect())
+
+    # frames out of order in one trigger; frame 4 is the newest and waits, half of it is still to come
+    out = feed([(1, 4, 0, 4), (1, 0, 0, 0), (1, 2, 0, 2), (2, 0, 0, 0)])
+    assert out == [(1, 0, 0, 0), (1, 2, 0, 0)]
+    # the other half, a newer frame, and a late row of frame 2
+    out = feed([(1, 4, 1, 500), (1, 6, 0, 505), (1, 2, 1, 90)])
+    assert out == [(1, 0, 0, 0), (1, 2, 0, 0), (1, 2, 1, None), (1, 4, 0, 0), (1, 4, 1, 1)]
+    # ends of both videos: what waits comes out; a frame after the end is late
+    out = feed([(1, None, None, None), (2, None, None, None)])
+    assert (1, 6, 0, 1) in out and (2, 0, 0, 0) in out and len(out) == 7
+    out = feed([(1, 8, 0, 505), (3, 0, 0, 0), (3, None, None, None)])
+    assert (1, 8, 0, None) in out and (3, 0, 0, 0) in out and len(out) == 9
+
+
+def test_live_tracks_timer_flushes_the_newest_frame(spark):
+    import time
+
+    from roadlens.streaming.live_tracks import ROCKSDB, settings, track_live
+
+    source = scratch_path(spark, "live-timer")
+    _boxes(spark, [(1, 0, 0, 0), (1, 2, 0, 2)]).write.parquet(source)
+    name = f"live_{uuid.uuid4().hex[:8]}"
+    with settings(spark, ROCKSDB):
+        live = track_live(spark.readStream.schema(DETECTIONS).parquet(source), flush_after_ms=300)
+        writer = live.writeStream.format("memory").queryName(name).outputMode("append")
+        query = writer.option("checkpointLocation", scratch_path(spark, "live-timer-check")).trigger(processingTime="500 milliseconds").start()
+    try:
+        until = time.time() + 90
+        while spark.table(name).count() < 2 and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert sorted((r.frame_id, r.track_id) for r in spark.table(name).collect()) == [(0, 0), (2, 0)]
