@@ -78,7 +78,7 @@ def analyse(spark: SparkSession, out: str, grid: float = 20.0, k: int = 5, seed:
         combined_hotspots=hs.combined_hotspots(profile, spots),
     )
     results["bad_locations"] = cl.bad_locations(_cleaned(spark, out))
-    points = ru.weighted_points(cube)
+    points = cut_lineage(ru.weighted_points(cube))
     results["cluster_counts"] = ck.weighted_cluster_counts(ck.fit_weighted(points, k, seed), points)
     return {name: w.write_result(df, _out(out, name)) for name, df in results.items()}
 

@@ -46,7 +46,7 @@ def fit_clusters(
     max_iter: int = 20,
 ) -> PipelineModel:
     """Assemble ``cols`` and fit K-means (k-means||, euclidean) on weighted points (M1, M2)."""
-    return fit_weighted(weighted_points(df, cols), k, seed, cols, max_iter)
+    return fit_weighted(cut_lineage(weighted_points(df, cols)), k, seed, cols, max_iter)
 
 
 def fit_weighted(
@@ -56,7 +56,7 @@ def fit_weighted(
     cols: Sequence[str] = DEFAULT_COLS,
     max_iter: int = 20,
 ) -> PipelineModel:
-    """Fit on distinct points with a ``weight`` column (checkpointed first)."""
+    """Fit on distinct points with a ``weight`` column; every iteration reads them, so they should be checkpointed."""
     pipeline = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(cols), outputCol="features"),
@@ -64,7 +64,7 @@ def fit_weighted(
                    predictionCol="cluster", weightCol="weight"),
         ]
     )
-    return pipeline.fit(cut_lineage(points))
+    return pipeline.fit(points)
 
 
 def weighted_cluster_counts(model: PipelineModel, points: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def fit_array_clusters(df: DataFrame, array_col: str, k: int = 5, seed: int = 42
     re-convert the source. Returns ``(model, vectors)``.
     """
     vectors = cut_lineage(
-        df.filter(F.col(array_col).isNotNull()).select("*", array_to_vector(array_col).alias("features"))
+        df.filter(F.col(array_col).isNotNull()).select(array_to_vector(array_col).alias("features"))
     )
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(vectors)
     return model, vectors
