@@ -25,22 +25,40 @@ from roadlens.operators import features as ft
 from roadlens.operators import hotspots as hs
 from roadlens.operators import report as rp
 from roadlens.operators import rollup as ru
-from roadlens.operators.chunked_tracking import track_ids_chunked
+from roadlens.operators.chunked_tracking import tracked_rows
+from roadlens.operators.tracking import track_paths
+from roadlens.schemas import TRACKED
 from roadlens.session import cut_lineage
 from roadlens.sinks import writers as w
+from roadlens.sinks.months import ingest_months
 from roadlens.sources import readers as r
+from roadlens.sources.checked_csv import read_checked_csv
 
 
 def _out(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def ingest(spark: SparkSession, raw_path: str, out: str, fmt: str = "csv") -> dict[str, str]:
+def ingest(spark: SparkSession, raw_path: str, out: str, fmt: str = "csv", delivery: str | None = None) -> dict[str, str]:
     """Stage 1: read raw violations; every row goes either to the accepted rows
-    (CSV + Parquet) or, with a reason, to the quarantine."""
-    raw = r.read_raw_csv(spark, raw_path) if fmt == "csv" else r.read_raw_json(spark, raw_path)
+    (CSV + Parquet) or, with a reason, to the quarantine.
+
+    CSV columns are found by each file's header, and lines that can not be read
+    go to the quarantine too (``raw_line``, ``source_file``). With ``delivery``,
+    a label, the cleaned rows also replace their months in ``by_month``.
+    """
+    if fmt == "csv":
+        rows, broken = read_checked_csv(spark, raw_path)
+        raw = rows.drop("source_file")
+        bad = cl.quarantine(raw).unionByName(broken, allowMissingColumns=True)
+    else:
+        raw = r.read_raw_json(spark, raw_path)
+        bad = cl.quarantine(raw)
     paths = w.write_result(cl.accepted_rows(raw), _out(out, "cleaned"))
-    paths["quarantine"] = w.write_quarantine(cl.quarantine(raw), _out(out, "quarantine"))
+    paths["quarantine"] = w.write_quarantine(bad, _out(out, "quarantine"))
+    if delivery is not None:
+        paths |= {"by_month": _out(out, "by_month"), "manifest": _out(out, "by_month_manifest")}
+        ingest_months(cl.clean_violations(raw), paths["by_month"], paths["manifest"], delivery)
     return paths
 
 
@@ -123,7 +141,8 @@ def detections(
     are written once, and every result is read from them.
     """
     boxes = dt.processed(r.read_detections(spark, det_path, fmt), params)
-    tracks = track_ids_chunked(dt.vehicles(boxes), params.frame_skip, params.iou_threshold)
+    followed = cut_lineage(tracked_rows(dt.vehicles(boxes), params.frame_skip, params.iou_threshold))
+    tracks = followed.select(*TRACKED.names)
     helmets = r.read_detections(spark, helmet_path, fmt) if helmet_path else None
     rates = spark.read.parquet(rates_path) if rates_path else None
     rows = dt.evaluate(tracks, boxes, params, with_helmets, helmets, rates)
@@ -136,6 +155,7 @@ def detections(
         "violation_mix": w.write_csv(agg.share(agg.explode_count(violations, "violation_type")),
                                      _out(out, "violation_mix")),
         "speed_histogram": w.write_csv(agg.histogram(summary, "speed_kmph"), _out(out, "speed_histogram")),
+        "paths": w.write_parquet(track_paths(followed), _out(out, "track_paths")),
         "totals": w.write_csv(dt.totals(evaluated), _out(out, "detection_totals")),
     }
 
@@ -147,6 +167,7 @@ def main(argv=None) -> None:
     a.add_argument("raw")
     a.add_argument("out")
     a.add_argument("--format", default="csv", choices=["csv", "json"])
+    a.add_argument("--delivery", help="label; the cleaned rows also replace their months")
     b = sub.add_parser("analyse")
     b.add_argument("out")
     c = sub.add_parser("dashboard")
@@ -167,7 +188,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"roadlens-{args.stage}").getOrCreate()
     if args.stage == "ingest":
-        print(ingest(spark, args.raw, args.out, args.format))
+        print(ingest(spark, args.raw, args.out, args.format, args.delivery))
     elif args.stage == "analyse":
         print(analyse(spark, args.out))
     elif args.stage == "dashboard":

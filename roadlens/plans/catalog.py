@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.plans import detections, io, ml, violations
+from roadlens.plans import detections, files, io, ml, violations
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -26,4 +26,4 @@ def oracle_queries() -> dict[str, str]:
 
 
 def _modules():
-    return [violations, detections, io, ml]
+    return [violations, detections, io, files, ml]

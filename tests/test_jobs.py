@@ -35,6 +35,21 @@ def test_detection_job(spark, sf_dir):
     out = jobs.detections(spark, det_path, scratch_path(spark, "det-out"))
     totals = spark.read.option("header", True).csv(out["totals"]).first()
     assert int(totals["detection_rows"]) == spark.read.parquet(out["summary"]).count() > 0
+    assert spark.read.parquet(out["paths"]).agg(F.sum("points")).first()[0] == int(totals["detection_rows"])
+
+
+def test_ingest_of_broken_lines_and_deliveries(spark, tmp_path):
+    header = "Fine_Amount,Violation_ID,Timestamp,Location,Violation_Type,Vehicle_Type,Severity"
+    (tmp_path / "a.csv").write_text(header + "\n100,V1,2024-01-02 03:04:05,\"1,2\",Speeding,Car,Low\nabc,V2,2024-01-02 03:04:05,x,Speeding,Car,Low\n7,V3\n")
+    (tmp_path / "b.csv").write_text("Violation_ID,Severity\nV4,Low\n")
+    out = scratch_path(spark, "ingest")
+    paths = jobs.ingest(spark, str(tmp_path), out, delivery="d1")
+    assert [r.Violation_ID for r in spark.read.parquet(paths["parquet"]).collect()] == ["V1"]
+    bad = spark.read.parquet(paths["quarantine"]).collect()
+    assert sorted(((r.Violation_ID or "", r.raw_line or "", r.reason.split(":")[0].split(",")[0]) for r in bad)) == [
+        ("", "7,V3", "malformed line"), ("", "V4,Low", "missing columns"), ("V2", "", "invalid_fine"),
+    ]
+    assert [(r.delivery, r.rows) for r in spark.read.parquet(paths["manifest"]).collect()] == [("d1", 1)]
 
 
 def test_report_cube_equals_direct_reports(spark, sf_dir):
