@@ -84,9 +84,11 @@ def grid_cell(c, size: float, mode: str = "trunc") -> Column:
 
 def title_case(c) -> Column:
     """Trim, lower-case, then capitalise each run of letters (P11): ``red-light`` gives ``Red-Light``."""
-    runs = F.regexp_extract_all(F.lower(F.trim(_c(c))), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    text = F.lower(F.trim(_c(c)))
+    runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
     capital = F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
-    return F.array_join(capital, "")
+    # plain words, the usual case, need no runs: initcap capitalises after blanks
+    return F.when(text.rlike("^[a-z ]*$"), F.initcap(text)).otherwise(F.array_join(capital, ""))
 
 
 def is_severe(c, levels: Sequence[str] = SEVERE_LEVELS) -> Column:

@@ -80,7 +80,7 @@ def _ranked_positions(s, d):
 
 
 def _cell_positions(s, d):
-    return with_position(hs.cell_counts(pv.profile(s, d)), F.col("lat_cell").asc(), F.col("lon_cell").asc())
+    return with_position(hs.counted_cells(pv.located(s, d)), F.col("lat_cell").asc(), F.col("lon_cell").asc())
 
 
 def _export(rows, fmt: str):

@@ -56,7 +56,7 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spots(spark: SparkSession, d: str) -> DataFrame:
-    return hs.hotspots(hs.cell_counts(profile(spark, d)), Z_THRESHOLD)
+    return hs.hotspots(cut_lineage(hs.counted_cells(located(spark, d))), Z_THRESHOLD)
 
 
 def _on_spots(step):
@@ -142,11 +142,11 @@ SPARK = {
         raw(s, d).filter(_even_record()).drop("Fine_Amount"), allowMissingColumns=True
     ),
     # hotspots
-    "cell_counts": lambda s, d: hs.cell_counts(profile(s, d)),
+    "cell_counts": lambda s, d: hs.counted_cells(located(s, d)),
     "cell_stats": lambda s, d: _round_cols(
-        hs.cell_stats(hs.cell_counts(profile(s, d))), {"mean_count", "std_count"}
+        hs.cell_stats(hs.counted_cells(located(s, d))), {"mean_count", "std_count"}
     ),
-    "cell_zscores": lambda s, d: hs.cell_zscores(hs.cell_counts(profile(s, d))).drop("_fallback"),
+    "cell_zscores": lambda s, d: hs.cell_zscores(cut_lineage(hs.counted_cells(located(s, d)))).drop("_fallback"),
     "hotspots": spots,
     "hotspot_rows": lambda s, d: hs.hotspot_rows(located(s, d), spots(s, d)).select(
         "Violation_ID", "lat_cell", "lon_cell", "Violation_Type", "hour", "violation_count", "z_score"
