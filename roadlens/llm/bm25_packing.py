@@ -40,7 +40,9 @@ from roadlens.llm.token_ids import encoder
 
 WINDOW = 2048
 SHARD_TOKENS = 2_000_000
+#: Neighbours fetched at a time, and the share of a shard's documents (one in so many) that makes a term common.
 NEIGHBOURS = 64
+COMMON = 8
 BATCH_BYTES = 2 << 20
 K1, B = 1.2, 0.75
 
@@ -65,8 +67,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, vocabula
                 with_end = np.insert(ids.astype(kind), upto[1:], kind.type(end_id))
                 sizes = np.diff(upto) + 1
                 ends = np.cumsum(sizes)
-                owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-                df += np.bincount(np.unique(owner * vocabulary + with_end) % vocabulary, minlength=vocabulary)
+                owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+                df += np.bincount(term_counts(with_end, owner)[0], minlength=vocabulary)
                 docs_seen, ids_seen = docs_seen + len(sizes), ids_seen + int(sizes.sum())
                 raw = with_end.tobytes()
                 w = kind.itemsize
@@ -79,6 +81,26 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, vocabula
     return written(rows.mapInArrow(run, ENCODED), "packing-encoded")
 
 
+def term_counts(ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, owner, count) of the different pairs, by term and then owner; ``owner`` rises. 16-bit ids sort by radix."""
+    order = np.argsort(ids, kind="stable")
+    term, owner = ids[order], owner[order]
+    first = np.ones(len(term), bool)
+    first[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(first)
+    return term[at], owner[at], np.diff(np.append(at, len(term)))
+
+
+def bm25_weights(term: np.ndarray, owner: np.ndarray, tf: np.ndarray, sizes: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
+    norm = K1 * (1 - B + B * sizes / max(mean_length, 1e-9))
+    return (idf[term] * tf * (K1 + 1) / (tf + norm[owner])).astype(np.float32)
+
+
+def small_sort(owner: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of numbers below ``n``, by radix where they fit 16 bits."""
+    return np.argsort(owner.astype(np.uint16) if n <= 1 << 16 else owner, kind="stable")
+
+
 def _row_batch(doc_ids, sizes, cells, counts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [doc_ids, pa.array(sizes, pa.int64()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())],
@@ -129,18 +151,24 @@ def placed_documents(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, mean_l
             for piece in small_slices(batch, "ids", BATCH_BYTES):
                 texts = [np.frombuffer(raw.as_buffer(), kind) for raw in piece.column("ids")]
                 sizes = np.array([len(t) for t in texts], np.int64)
-                owner = np.repeat(np.arange(len(texts)), sizes)
-                keys, tf = np.unique(owner * len(idf) + np.concatenate(texts), return_counts=True)
-                owner, term = np.divmod(keys, len(idf))
+                term, owner, tf = term_counts(np.concatenate(texts), np.repeat(np.arange(len(texts), dtype=np.int32), sizes))
                 several = shared[term]
-                owner, term, tf = owner[several], term[several], tf[several]
-                norm = K1 * (1 - B + B * sizes / max(mean_length, 1e-9))
-                by_doc = np.lexsort((term, -idf[term] * tf * (K1 + 1) / (tf + norm[owner]), owner))
-                begin = np.searchsorted(owner, np.arange(len(texts) + 1))
+                term, owner, tf = term[several], owner[several], tf[several]
+                weight = bm25_weights(term, owner, tf, sizes, idf, mean_length)
+                by_doc = small_sort(owner, len(texts))
+                term, owner, weight = term[by_doc], owner[by_doc], weight[by_doc]
                 place = np.full((2, len(texts)), -1, np.int32)
-                for k in (0, 1):
-                    has = begin[:-1] + k < begin[1:]
-                    place[k, has] = term[by_doc[begin[:-1][has] + k]]
+                for k in (0, 1):  # the heaviest, and the heaviest without it; ties to the smaller term
+                    if not len(owner):
+                        break
+                    begin = np.flatnonzero(np.diff(owner, prepend=-1))
+                    top = np.repeat(np.maximum.reduceat(weight, begin), np.diff(np.append(begin, len(owner))))
+                    at = np.flatnonzero(weight == top)
+                    at = at[np.diff(owner[at], prepend=-1) != 0]
+                    place[k, owner[at]] = term[at]
+                    rest = np.ones(len(owner), bool)
+                    rest[at] = False
+                    term, owner, weight = term[rest], owner[rest], weight[rest]
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("ids"), *map(pa.array, place)], names=["doc_id", "ids", "first", "second"])
 
     rows = encoded.where(F.col("counts").isNull()).select("doc_id", "ids")
@@ -151,61 +179,80 @@ class ShardIndex:
     """BM25 inverted index over the documents of one shard.
 
     Postings are sorted by term; each holds the document's BM25 weight of the
-    term, so a score is a sum of postings.
+    term, so a score is a sum of postings. Terms that more than one document in
+    ``COMMON`` holds have their postings as a dense row, and are added by a
+    matrix product.
     """
 
     def __init__(self, texts: list[np.ndarray], idf: np.ndarray, mean_length: float):
         n, vocabulary = len(texts), len(idf)
         sizes = np.array([len(t) for t in texts], np.int64)
-        keys = np.concatenate(texts).astype(np.int64) * n + np.repeat(np.arange(n), sizes)
-        keys, tf = np.unique(keys, return_counts=True)
-        term, self.owner = np.divmod(keys, n)
-        norm = K1 * (1 - B + B * sizes / max(mean_length, 1e-9))
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm[self.owner])).astype(np.float32)
-        self.begin = np.searchsorted(term, np.arange(vocabulary + 1))
-        self.idf = idf
-        by_doc = np.argsort(self.owner, kind="stable")
+        term, self.owner, tf = term_counts(np.concatenate(texts), np.repeat(np.arange(n, dtype=np.int32), sizes))
+        self.weight = bm25_weights(term, self.owner, tf, sizes, idf, mean_length)
+        held = np.bincount(term, minlength=vocabulary)
+        self.begin = np.concatenate([[0], np.cumsum(held)])
+        common = np.flatnonzero(held * COMMON > n)
+        self.row = np.full(vocabulary, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), n), np.float32)
+        in_dense = self.row[term] >= 0
+        self.dense[self.row[term[in_dense]], self.owner[in_dense]] = self.weight[in_dense]
+        by_doc = small_sort(self.owner, n)
         self.terms = term[by_doc]
-        self.doc_begin = np.searchsorted(self.owner[by_doc], np.arange(n + 1))
+        self.doc_begin = np.concatenate([[0], np.cumsum(np.bincount(self.owner, minlength=n))])
         self.unused = np.ones(n, bool)
+        self.scores = np.zeros(n)
 
-    def neighbours(self, doc: int) -> np.ndarray:
-        """Unused documents by falling score for all terms of ``doc``; ties to the earlier."""
+    def seed(self, doc: int) -> None:
+        """Scores every document for all terms of ``doc``."""
         terms = self.terms[self.doc_begin[doc] : self.doc_begin[doc + 1]]
-        sizes = self.begin[terms + 1] - self.begin[terms]
+        rows = self.row[terms]
+        asked = np.zeros(len(self.dense), np.float32)
+        asked[rows[rows >= 0]] = 1
+        terms = terms[rows < 0]
+        sizes = self.begin[terms.astype(np.int64) + 1] - self.begin[terms]
         at = np.arange(sizes.sum()) + np.repeat(self.begin[terms] - np.cumsum(sizes) + sizes, sizes)
-        scores = np.bincount(self.owner[at], self.weight[at], len(self.unused))
-        scores *= self.unused
-        k = min(NEIGHBOURS, len(scores) - 1)
-        best = np.argpartition(-scores, k)[: k + 1] if k > 0 else np.arange(len(scores))
-        best = best[scores[best] > 0]
-        return best[np.lexsort((best, -scores[best]))]
+        self.scores = np.bincount(self.owner[at], self.weight[at], len(self.unused)) + asked @ self.dense
+
+    def neighbours(self) -> list[int]:
+        """The next unused documents for the seed by falling score, ties to the earlier; empty when none is left."""
+        scores = self.scores * self.unused
+        k = min(NEIGHBOURS, len(scores)) - 1
+        least = np.partition(scores, len(scores) - 1 - k)[len(scores) - 1 - k]
+        best = np.flatnonzero((scores >= least) & (scores > 0))
+        return best[np.lexsort((best, -scores[best]))].tolist()
 
 
 def order_by_retrieval(index: ShardIndex, sizes: list[int], window: int, room: int) -> list[int]:
     """The order in which a shard's documents enter the windows; ``room`` is left in the current one.
 
-    When neighbours run out before a window is full, the next unused document seeds anew.
+    A seed's neighbours are fetched some at a time until the window is full;
+    when it has no more, the next unused document seeds anew.
     """
-    order, n, seed = [], len(sizes), 0
+    order, n, unseeded = [], len(sizes), 0
     queue: list[int] = []
+    seeded = False
     while len(order) < n:
         while queue and not index.unused[queue[0]]:
             queue.pop(0)
-        if queue:
-            doc = queue.pop(0)
+        if not queue and seeded:
+            queue = index.neighbours()
+        fresh = not queue
+        if fresh:
+            while not index.unused[unseeded]:
+                unseeded += 1
+            doc = unseeded
         else:
-            while not index.unused[seed]:
-                seed += 1
-            doc = seed
+            doc = queue.pop(0)
         index.unused[doc] = False
         order.append(doc)
         room -= sizes[doc]
         if room <= 0:  # cut at the window's end: the rest of this document seeds the next window
             room = window - (-room) % window
-            queue = index.neighbours(doc).tolist()
-        elif not queue:
-            queue = index.neighbours(doc).tolist()
+            fresh, queue = True, []
+        if fresh and len(order) < n:
+            index.seed(doc)
+            seeded = True
     return order
 
 

@@ -1,10 +1,11 @@
-"""Token ids by the ``tokenizers`` library, encoding each distinct word piece once.
+"""Token ids by the ``tokenizers`` library, encoding each distinct piece once.
 
 BPE works inside pretokens, and no pretoken of the two supported kinds of
-tokenizer crosses the cuts made here, so the ids of a text are the ids of its
-pieces in order. A batch is cut, and its pieces are named by a 64-bit hash, in
-vectorised passes over its bytes; only distinct pieces reach Python and the
-library. Each worker keeps the pieces it has met in a cache of bounded size.
+tokenizer crosses the cuts made here (at white space, and between letters and
+ASCII marks), so the ids of a text are the ids of its pieces in order. A batch
+is cut in vectorised passes over its bytes, and Arrow's dictionary encoding
+finds the distinct pieces, compared byte for byte; only these reach Python and
+the library. Each worker keeps the pieces it has met in a cache of bounded size.
 Texts with unusual white space, and tokenizers of any other kind, are encoded
 whole. ``tests/llm`` holds both ways against each other.
 """
@@ -14,18 +15,19 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_200_000
 LONGEST_HASHED = 64
 WHOLE, WORDS, SPACE_LED = "whole", "words", "space-led"
-#: A word of Latin letters that keep their form under NFC, with ASCII marks after it (no apostrophe: contractions).
+#: One pretoken: Latin letters that keep their form under NFC, or ASCII marks (no apostrophe: contractions).
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-SIMPLE = re.compile(f"( ?[{_LETTER}]*)([!-&(-/:-@\\[-`{{-~]*)")
+SIMPLE = re.compile(f" ?(?:[{_LETTER}]+|[!-&(-/:-@\\[-`{{-~]+)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -42,6 +44,13 @@ SUSPECT = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE
 MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, LONGEST_HASHED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+LETTERS = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+MARKS = np.isin(np.arange(256), [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
+APOSTROPHE = 39
+#: First bytes of two-byte letters, U+00C0 to U+017F but the two signs among them.
+LATIN_LEAD = np.isin(np.arange(256), [0xC3, 0xC4, 0xC5])
+
+
 def unusual_space(data: np.ndarray) -> np.ndarray:
     """Positions in UTF-8 bytes where white space besides the six ASCII characters begins."""
     at = np.flatnonzero(SUSPECT[data])
@@ -79,6 +88,26 @@ def piece_bounds(data: np.ndarray, off: np.ndarray, space_led: bool) -> tuple[np
     return starts, np.concatenate([starts[1:], [n]])
 
 
+def pretoken_cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Starts of pieces that cover all texts: the space-led ones, cut again between letters and ASCII marks.
+
+    After an apostrophe there is no cut, as it may begin a contraction.
+    """
+    starts, _ = piece_bounds(data, off, True)
+    if len(data) < 2:
+        return starts
+    letter, mark = LETTERS[data], MARKS[data]
+    lead = np.flatnonzero(LATIN_LEAD[data[:-1]])
+    lead = lead[(data[lead] != 0xC3) | (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    begins, ends = letter.copy(), letter
+    begins[lead] = True
+    ends[lead + 1] = True
+    cut = mark[1:] & ends[:-1]
+    cut |= begins[1:] & mark[:-1] & (data[:-1] != APOSTROPHE)
+    cut[starts[starts > 0] - 1] = False
+    return np.sort(np.concatenate([starts, np.flatnonzero(cut) + 1]), kind="stable")
+
+
 def piece_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each piece: multilinear in its bytes; long pieces by xxhash."""
     size = ends - starts
@@ -103,6 +132,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = self._kind(json.loads(self.tokenizer.to_str()))
+        self.ids_type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
 
     @staticmethod
@@ -118,50 +148,43 @@ class Encoder:
         return WHOLE
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.words: dict[str, list[int]] = {}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.used = 0
-        self.starts, self.sizes = array("q"), array("q")
+        self.known: dict[bytes, int] = {}
+        self.flat = np.zeros(1 << 20, self.ids_type)
+        self.ends = np.zeros(1 << 16, np.int32)  # of each known piece in ``flat``
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _pretoken(self, word: str) -> list[int]:
-        """Ids of one pretoken, by the tokenizer's BPE model; kept."""
-        ids = self.words.get(word)
-        if ids is None:
-            low = word.lower() if self.kind == WORDS else word
-            letters = low.encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(letters)]
-        return ids
-
-    def _keep(self, name: int, ids: list[int]) -> None:
-        n = len(ids)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + n] = ids
-        self.known[name] = len(self.starts)
-        self.starts.append(self.used)
-        self.sizes.append(n)
-        self.used += n
-
-    def _learn(self, names: list[int], pieces: list[str]) -> None:
-        rest = []
-        for k, piece in enumerate(pieces):
-            m = SIMPLE.fullmatch(piece)
-            if m is None:
-                rest.append(k)
-                continue
-            word, marks = m.groups()
-            if word in ("", " "):  # a leading space belongs to the marks then
-                self._keep(names[k], self._pretoken(piece))
-            else:
-                self._keep(names[k], self._pretoken(word) + self._pretoken(marks) if marks else self._pretoken(word))
+    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces: single pretokens by the tokenizer's BPE model, the rest by the whole tokenizer."""
+        simple = [SIMPLE.fullmatch(p) is not None for p in pieces]
+        out: list = [None] * len(pieces)
+        at = [k for k, x in enumerate(simple) if x]
+        if self.kind == WORDS:  # in lower case, without the leading space
+            letters = "\n".join([pieces[k].lstrip(" ") for k in at]).lower()
+        else:
+            letters = "\n".join([pieces[k] for k in at])
+        tokenize = self.tokenizer.model.tokenize
+        for k, word in zip(at, letters.encode().decode("latin-1").translate(BYTE_LETTERS).split(BYTE_LETTERS[10])):
+            out[k] = [t.id for t in tokenize(word)]
+        rest = [k for k, x in enumerate(simple) if not x]
         for lo in range(0, len(rest), 4096):
             part = rest[lo : lo + 4096]
             for k, ids in zip(part, self.encode_whole([pieces[k] for k in part])):
-                self._keep(names[k], ids)
+                out[k] = ids
+        return out
+
+    def _learn(self, new: list[bytes]) -> None:
+        lists = self._ids_of([p.decode() for p in new])
+        base, used = len(self.known), self.ends[len(self.known) - 1] if self.known else 0
+        ends = used + np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+        while int(ends[-1]) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while base + len(new) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[used : ends[-1]] = np.fromiter(chain.from_iterable(lists), self.ids_type, int(ends[-1] - used))
+        self.ends[base : base + len(new)] = ends
+        self.known.update(zip(new, range(base, base + len(new))))
 
     def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of the texts ``data[off[i]:off[i+1]]`` (UTF-8 bytes)."""
@@ -170,24 +193,31 @@ class Encoder:
             odd = np.diff(np.searchsorted(unusual_space(data), off)) > 0
         if odd.any():
             return self._mixed(data, off, odd)
-        starts, ends = piece_bounds(data, off, self.kind == SPACE_LED)
-        distinct, where, which = np.unique(piece_names(data, starts, ends), return_index=True, return_inverse=True)
-        if max(len(self.known), len(self.words)) > CACHE_PIECES:
+        starts = pretoken_cuts(data, off)
+        if not len(starts):
+            return np.zeros(0, self.ids_type), np.zeros(len(off), np.int64)
+        bounds = np.append(starts, len(data)).astype(np.int64, copy=False)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        _, ends, raw = pieces.dictionary.buffers()
+        ends, raw = np.frombuffer(ends, np.int64)[: len(pieces.dictionary) + 1].tolist(), raw.to_pybytes()
+        distinct = [raw[a:b] for a, b in zip(ends, ends[1:])]
+        if len(self.known) > CACHE_PIECES:
             self._clear()
-        names = distinct.tolist()
-        rows = list(map(self.known.get, names))
+        rows = list(map(self.known.get, distinct))
         new = [k for k, row in enumerate(rows) if row is None]
         if new:
-            lo, hi = starts[where[new]].tolist(), ends[where[new]].tolist()
-            raw = data.tobytes()
-            self._learn([names[k] for k in new], [raw[a:b].decode() for a, b in zip(lo, hi)])
-            for k in new:
-                rows[k] = self.known[names[k]]
-        row = np.array(rows, np.int64)[which]
-        sizes = np.frombuffer(self.sizes, np.int64)[row] if len(row) else np.zeros(0, np.int64)
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        begin = np.frombuffer(self.starts, np.int64)[row] if len(row) else sizes
-        ids = self.flat[np.repeat(begin - upto[:-1], sizes) + np.arange(upto[-1])]
+            base = len(self.known)
+            self._learn([distinct[k] for k in new])
+            for n, k in enumerate(new):
+                rows[k] = base + n
+        row = np.array(rows, np.int32)
+        ends = self.ends[row]
+        begins = np.where(row > 0, self.ends[row - 1], 0)
+        which = pieces.indices.to_numpy()
+        sizes = (ends - begins)[which]
+        upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        shift = begins[which] - upto[:-1]
+        ids = self.flat[np.repeat(shift, sizes) + np.arange(upto[-1])]
         return ids, upto[np.searchsorted(starts, off)]
 
     def _mixed(self, data: np.ndarray, off: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,9 +230,9 @@ class Encoder:
             for k, i in enumerate(good):
                 parts[i] = ids[upto[k] : upto[k + 1]]
         for i in np.flatnonzero(odd):
-            parts[i] = np.asarray(self.encode_whole([data[off[i] : off[i + 1]].tobytes().decode()])[0], np.uint32)
+            parts[i] = np.asarray(self.encode_whole([data[off[i] : off[i + 1]].tobytes().decode()])[0], self.ids_type)
         upto = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        return np.concatenate([np.zeros(0, np.uint32), *parts]), upto
+        return np.concatenate([np.zeros(0, self.ids_type), *parts]), upto
 
 
 @lru_cache(maxsize=2)

@@ -144,7 +144,42 @@ def test_packing_brings_related_documents_of_all_files_together(spark):
 def test_packing_scores_all_terms_of_the_seed():
     texts = [np.repeat(np.arange(40), [3] * 39 + [1]), np.array([39, 39, 41]), np.array([42, 43])]
     index = bm25_packing.ShardIndex(texts, np.ones(50), 50.0)
-    assert index.neighbours(0).tolist() == [0, 1]
+    index.seed(0)
+    assert index.neighbours() == [0, 1]
+
+
+@pytest.mark.parametrize("common", [2, 8, 10**9])
+def test_neighbours_come_in_the_order_of_plain_bm25_to_the_last(monkeypatch, common):
+    """All unused documents that share a term, however many: fetched in turns, common terms dense or not."""
+    monkeypatch.setattr(bm25_packing, "COMMON", common)
+    rng = np.random.default_rng(9)
+    texts = [rng.zipf(1.3, rng.integers(1, 80)).clip(0, 399).astype(np.uint16) for _ in range(300)]
+    df = np.bincount(np.concatenate([np.unique(t) for t in texts]), minlength=400)
+    idf, mean = np.log1p((300 - df + 0.5) / (df + 0.5)), float(np.mean([len(t) for t in texts]))
+    index = bm25_packing.ShardIndex(texts, idf, mean)
+    for seed in (0, 17, 250):
+        index.seed(seed)
+        index.unused[:] = True
+        index.unused[[seed, 5, 6]] = False
+        plain = {}
+        for d, text in enumerate(texts):
+            tf = collections.Counter(text.tolist())
+            norm = bm25_packing.K1 * (1 - bm25_packing.B + bm25_packing.B * len(text) / mean)
+            plain[d] = sum(idf[t] * tf[t] * (bm25_packing.K1 + 1) / (tf[t] + norm) for t in set(texts[seed].tolist()) & set(tf))
+        want = [plain[d] for d in sorted(plain, key=lambda d: -plain[d]) if d not in (seed, 5, 6) and plain[d] > 0]
+        got = []
+        while more := index.neighbours():
+            assert len(more) >= min(bm25_packing.NEIGHBOURS, len(want) - len(got))
+            got += more
+            index.unused[more] = False
+        assert len(got) == len(set(got)) == len(want) and np.allclose([plain[d] for d in got], want, rtol=1e-5)
+
+
+def test_a_seed_fills_its_window_with_all_its_neighbours_first():
+    texts = [np.array([1, 2], np.uint16) if i % 2 else np.array([3, 4], np.uint16) for i in range(400)]
+    index = bm25_packing.ShardIndex(texts, np.ones(10), 2.0)
+    order = bm25_packing.order_by_retrieval(index, [2] * 400, 10_000, 10_000)
+    assert [k % 2 for k in order] == [0] * 200 + [1] * 200
 
 
 # -- token files ------------------------------------------------------------
