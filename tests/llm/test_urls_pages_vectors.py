@@ -244,6 +244,21 @@ def test_forest_dense_group_of_scaled_and_near_copies(spark):
     assert dict(got) == nearest_by_force(list(enumerate(x)), range(0, 1000, 50))
 
 
+def test_cosines_of_huge_and_tiny_vectors():
+    a = np.array([[3e160, 4e160], [3e-170, 4e-170], [3.0, 4.0], [5e-324, 0.0]])
+    b = np.array([[4e-300, 3e-300], [4e300, 3e300], [4.0, 3.0], [1e308, 1e308]])
+    assert np.allclose(prefix_forest.cosines(a, b), [0.96, 0.96, 0.96, 0.5**0.5], rtol=1e-15)
+
+
+def test_forest_finds_enough_in_a_far_group_of_few(spark):
+    """Three entries far from all others share every run; the answer still has five rows."""
+    rng = np.random.default_rng(4)
+    x = [*(1000 + 0.001 * rng.normal(size=(3, 12))), *(rng.normal(size=(2000, 12)) - 3)]
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = prefix_forest.search(df, F.col("vec_id") == 0).collect()
+    assert sorted(r.rank for r in out) == [1, 2, 3, 4, 5] and {1, 2} == {r.vec_id for r in out if r.rank <= 2}
+
+
 # -- personal data ----------------------------------------------------------
 
 PATTERNS = {
