@@ -69,12 +69,75 @@ def test_template_text_without_marks_is_dropped(spark):
     assert {r.page_id: r.text for r in out} == {i: f"Story {i}\nTold {i} times" for i in range(8)}
 
 
+def extracted(spark, pages, host="h.test"):
+    rows = [(i, f"http://{host}/{i}", page) for i, page in enumerate(pages)]
+    out = wrappers.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="single post has-sidebar"><article><p>{}</p></article></body>',
+        '<body><main class="overflow-hidden"><p>{}</p></main></body>',
+        '<body><article class="post comments-open"><p>{}</p></article></body>',
+        '<body><div class="content no-sidebar"><p>{}</p></div></body>',
+        "<html><head><title>T</title><meta charset=utf-8><body><article><p>{}</p></article>",
+        "<head><title>T</title><p>{}</p>",
+        '<body><div class="comment-page"><p>{}</p><p>and {}</p></div><div class="ads">Buy</div></body>',  # the name of the page, not of a part
+        '<main><h1>{}</h1><p>{} at length, with more to say</p><article class="teaser">t{}</article></main>',
+    ],
+)
+def test_names_of_classes_do_not_empty_ordinary_pages(spark, page):
+    got = extracted(spark, [page.replace("{}", f"story {i}") for i in range(6)])
+    assert all(f"story {i}" in text and "Buy" not in text and "tstory" not in text for i, text in enumerate(got))
+
+
+def test_region_is_told_by_its_text_not_its_name(spark):
+    """No marks at all: text equal on different pages is template, subheads between own blocks are not, and the wrapper decides."""
+    page = "<body><div>Welcome to us</div><section><p>Story {i}</p><p>Method</p><p>Told {i} times</p></section><div>All rights</div></body>"
+    copies = [page.replace("{i}", "7")] * 9  # copies of one page are one page
+    assert extracted(spark, copies) == ["Welcome to us\nStory 7\nMethod\nTold 7 times\nAll rights"] * 9
+    pages = [page.replace("{i}", str(i)) for i in range(12)]
+    assert extracted(spark, [*pages, *copies]) == [f"Story {i}\nMethod\nTold {i} times" for i in [*range(12), *[7] * 9]]
+
+
+def test_many_streams_of_a_host_meet_level_by_level(spark):
+    """More different streams than one task aligns; the wrapper still finds the template around all of them."""
+    rng = np.random.default_rng(6)
+    pages, want = [], []
+    for i in range(150):
+        blocks = [(("h2", "p", "blockquote", "pre", "dt")[k], f"t{i} {n}") for n, k in enumerate(rng.integers(0, 5, 12))]
+        pages.append("<body><div>Site head</div><section>" + "".join(f"<{b}>{t}</{b}>" for b, t in blocks) + "</section><div>Site foot</div></body>")
+        want.append("\n".join(t for _, t in blocks))
+    assert extracted(spark, pages) == want
+
+
+def test_alignment_of_long_mixed_streams():
+    """Divided alignment finds as long a common subsequence as the whole table, in little memory."""
+    rng = np.random.default_rng(7)
+    a, b = ([str(k) for k in rng.integers(0, 4, 600)] for _ in range(2))
+    whole = wrappers.matches(a, b)
+    assert whole == sorted(whole) and all(a[i] == b[j] for i, j in whole)
+    small, wrappers.LARGEST_TABLE = wrappers.LARGEST_TABLE, 1000
+    try:
+        divided = wrappers.matches(a, b)
+    finally:
+        wrappers.LARGEST_TABLE = small
+    assert len(divided) == len(whole) and all(a[i] == b[j] for i, j in divided)
+    x, y = (rng.integers(0, 5, 8_000).astype(str).tolist() for _ in range(2))
+    assert len(wrappers.matches(x, y)) > 4_000
+    page = "<section>" + "".join(f"<{t}>x{i}</{t}>" for i, t in enumerate(rng.choice(["h2", "p", "pre", "dt", "td"], 4_000))) + "</section>"
+    pattern, held, texts = wrappers.folded_page(page)
+    assert sorted(i for h in held for i in h) == list(range(4_000)) and len(texts) == 4_000
+
+
 def test_wrapper_has_optional_and_repeated_groups():
     pages = ["<article><h1>a</h1>" + "<p>x</p>" * n + "</article>" + "<div>d</div>" * (n % 2) for n in (1, 2, 5)]
     parts = []
     for page in pages:
         pattern, held, _ = wrappers.folded_page(page)
-        parts.append(wrappers.to_items(pattern, [[1, i, i] for i in range(len(held))]))
+        parts.append(wrappers.to_items(pattern, [[1, i, i, 1] for i in range(len(held))]))
     wrapper = wrappers.infer(parts)
     assert [(x.key, x.optional) for x in wrapper] == [
         ("article", False), ("h1", False), ("#", False), ("(p #)+", False), ("/article", False), ("div", True), ("#", True), ("/div", True),
