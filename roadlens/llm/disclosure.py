@@ -6,36 +6,42 @@ Built from DataFrame functions alone.
    per kind leftmost and non-overlapping, then checked (octets, Luhn, digits).
    Positions come from the lengths of the matches and of the text between them
    (``split``), added up inside the row, so texts are not shuffled.
-2. Protected entities are the span texts. For every line that holds one, the
-   words of the line outside base spans are its context. With ``n`` lines in the corpus, a word t
-   and an entity e have ``PMI(e; t) = log2(n * n(t, e) / (n(t) * n(e)))`` from
-   counts over all lines of all documents; e itself carries
-   ``IC(e) = -log2(n(e) / n)`` bits. A word that appears with e in at least
-   ``MIN_CONTEXTS`` different lines and has ``PMI >= DISCLOSURE * IC`` tells
-   nearly all of them: it discloses e.
-3. Disclosing words are added as spans of kind ``term`` in the lines that hold
-   their entity. ``sanitised`` replaces base spans and disclosing words: words
-   of digits are generalised to ``<NUMBER>``, others removed as ``<TERM>``.
-
-Counts are pre-aggregated in the scan; contexts with a frequent entity or word
-meet only as counts. Rows are told apart by an id that is written once.
+2. Protected entities are the span texts. The words of a document outside its
+   spans are the context of every entity in it, wherever they stand. With ``n``
+   documents, a word t and an entity e have ``PMI(e; t) = log2(n * n(t, e) /
+   (n(t) * n(e)))`` from counts over all documents; e itself carries ``IC(e) =
+   -log2(n(e) / n)`` bits. A word with ``PMI >= DISCLOSURE * IC`` tells nearly
+   all of them. That it is no accident is asked in bits as well: every different
+   text with both adds PMI bits of evidence, and their sum must exceed the bits
+   that name one of all (word, entity) pairs of the corpus by ``MARGIN``.
+3. Disclosing words are added as spans of kind ``term`` wherever they stand in a
+   document that holds their entity. ``sanitised`` replaces base spans and
+   disclosing words: words of digits are generalised to ``<NUMBER>``, others
+   removed as ``<TERM>``.
+
+Pairs are built late: an entity on too few texts for the evidence, and a word on
+too many documents for its share of the bits, can not be in one, and both are
+known from counts. Counts are pre-aggregated in the scan. Rows are told apart by
+an id that is written once.
 
 Defined cases: null text counts as empty and has no spans; ``spans`` is then
 the empty string; repeated rows give repeated results and count as often as
-they occur, except that ``MIN_CONTEXTS`` counts different lines, so copies of
-one document disclose nothing; ties cannot occur (spans of a kind do not
-overlap); an empty table gives an empty result; extra columns are ignored.
+they occur, but evidence counts different texts, so copies of one document
+disclose nothing; ties cannot occur (spans of a kind do not overlap); an empty table gives
+an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import text_or_empty, written
 
-MIN_CONTEXTS = 3
 DISCLOSURE = 0.9
+MARGIN = 4
 BLOCK = 256
 
 #: Fixed kinds, in the order in which spans at the same start are listed.
@@ -134,96 +140,99 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def words_of(text: Column) -> Column:
+    """The distinct words of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
 def with_base_spans(docs: DataFrame) -> DataFrame:
-    """(row_id, doc_id, spans, lines): the written table of base spans and of the lines that hold any.
+    """(row_id, doc_id, spans, text, entities): the written table of base spans.
 
-    ``lines`` has (start, line, entities, words) with the distinct span texts and
-    the distinct words outside base spans of each line; spans never cross a line break.
+    Rows with spans also have their text and the distinct span texts; others have nulls there.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     spanned = rows.withColumn("spans", base_spans(F.col("text")))
-    pieces = F.split("text", "\n", -1)
-    ends = running_sum(F.transform(pieces, lambda x: F.char_length(x).cast("long") + 1))
-    lines = F.zip_with(pieces, ends, lambda x, end: F.struct((end - 1 - F.char_length(x)).alias("start"), x.alias("line")))
-    has = lambda s, line: (s["start"] >= line["start"]) & (s["start"] < line["start"] + F.char_length(line["line"]))
-    own = F.transform(lines, lambda line: F.struct(
-        line["start"].alias("start"), line["line"].alias("line"), F.filter(F.col("spans"), lambda s: has(s, line)).alias("spans")
-    ))
-
-    def outside(line: Column) -> Column:
-        meets = lambda w, s: (s["start"] < line["start"] + w["end"]) & (line["start"] + w["start"] < s["end"])
-        free = F.filter(found(line["line"], WORD), lambda w: ~F.exists(line["spans"], lambda s: meets(w, s)))
-        return F.array_distinct(F.transform(free, lambda w: F.lower(w["value"])))
-
-    some = F.transform(F.filter(own, lambda line: F.size(line["spans"]) > 0), lambda line: F.struct(
-        line["start"].alias("start"), line["line"].alias("line"),
-        F.array_distinct(F.transform(line["spans"], lambda s: F.lower(s["value"]))).alias("entities"), outside(line).alias("words"),
-    ))
-    none = F.array().cast("array<struct<start:bigint,line:string,entities:array<string>,words:array<string>>>")
-    return written(spanned.select("row_id", "doc_id", "spans", F.when(F.size("spans") > 0, some).otherwise(none).alias("lines")), "disclosure-spans")
-
-
-def contexts(spanned: DataFrame) -> DataFrame:
-    """(row_id, start, line, words, entity): each line with each entity that it holds."""
-    lines = spanned.select("row_id", F.explode("lines").alias("l")).select("row_id", "l.start", "l.line", "l.words", "l.entities")
-    return lines.select("row_id", "start", "line", "words", F.explode("entities").alias("entity"))
-
-
-def words_of(line: Column) -> Column:
-    """The distinct words of a line, in lower case."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), F.lower))
-
-
-def disclosing_words(docs: DataFrame, spanned: DataFrame, min_contexts: int = MIN_CONTEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, word, pmi, ic): the words that disclose an entity, from counts over the whole corpus."""
-    held = contexts(spanned)
-    entity_lines = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = held.select("entity", F.xxhash64("line").alias("line_id"), F.explode("words").alias("word"))
-    # first per line text, then per pair: a line that thousands of copies hold meets as one row
-    together = pairs.groupBy("entity", "word", "line_id").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "word").agg(
-        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_contexts")
-    )
-    candidates = written(together.where(F.col("n_contexts") >= min_contexts), "disclosure-candidates")
-    lines = docs.select(F.explode(F.split(text_or_empty(), "\n", -1)).alias("line"))
-    asked = candidates.select("word").distinct()
-    per_word = lines.select(F.explode(words_of(F.col("line"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_word"))
-    # lines whose only such words are parts of base spans do not count
-    inside = spanned.select(F.explode("lines").alias("l")).select(F.explode(F.array_except(words_of(F.col("l.line")), F.col("l.words"))).alias("word"))
-    per_inside = inside.join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_inside"))
-    n_lines = docs.agg(F.sum(F.size(F.split(text_or_empty(), "\n", -1)))).first()[0] or 1
+    entities = F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))
+    some = lambda column: F.when(F.size("spans") > 0, column)
+    return written(spanned.select("row_id", "doc_id", "spans", some(F.col("text")).alias("text"), some(entities).alias("entities")), "disclosure-spans")
+
+
+def free_words(spanned: DataFrame) -> DataFrame:
+    """(row_id, start, end, word): every word, in lower case, that meets no base span, of rows with spans.
+
+    One pass over words and spans of a row, sorted by start: a span that begins
+    before a word and ends after the word's start meets it, so the furthest end so
+    far decides; so does a span that begins inside the word.
+    """
+    words = F.transform(found(F.col("text"), WORD), lambda w: span(w["start"], w["end"], KINDS.index("term"), w["value"]))
+    both = spanned.where(F.size("entities") > 0).select("row_id", F.explode(F.concat(words, "spans")).alias("s"))
+    both = both.withColumn("word", F.col("s.kind") == "term")
+    order = Window.partitionBy("row_id").orderBy("s.start", "word", "s.end")
+    back = Window.partitionBy("row_id").orderBy(F.desc("s.start"), F.desc("word"), F.desc("s.end"))
+    until = F.max(F.when(~F.col("word"), F.col("s.end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    following = F.min(F.when(~F.col("word"), F.col("s.start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    meets = F.coalesce(until > F.col("s.start"), F.lit(False)) | F.coalesce(following < F.col("s.end"), F.lit(False))
+    free = both.withColumn("meets", meets).where(F.col("word") & ~F.col("meets"))
+    return free.select("row_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.lower("s.value").alias("word"))
+
+
+def disclosing_words(docs: DataFrame, spanned: DataFrame, words: DataFrame, disclosure: float = DISCLOSURE, margin: float = MARGIN) -> DataFrame:
+    """(entity, word, pmi, ic): the words that disclose an entity, from counts over the whole corpus; ``words``: ``free_words``."""
     bits = lambda x: F.log2(x.cast("double"))
-    n = F.lit(n_lines)
-    scored = (
-        candidates.join(per_word.join(asked, "word", "left_semi"), "word")
-        .join(per_inside, "word", "left")
-        .withColumn("n_word", F.col("n_word") - F.coalesce("n_inside", F.lit(0)))
-        .join(entity_lines, "entity")
-        .withColumn("pmi", bits(n) + bits(F.col("n_both")) - bits(F.col("n_word")) - bits(F.col("n_entity")))
-        .withColumn("ic", bits(n) - bits(F.col("n_entity")))
+    n = F.lit(float(max(spanned.count(), 1)))
+    held = spanned.where(F.size("entities") > 0).select("row_id", F.xxhash64("text").alias("text_id"), "text", "entities")
+    row_words = written(words.select("row_id", "word").distinct(), "disclosure-row-words")
+    pairs = row_words.groupBy("row_id").count().join(held, "row_id").agg(F.sum(F.col("count") * F.size("entities"))).first()[0]
+    needed = margin + math.log2(max(pairs or 0, 1))
+
+    # entities that enough different texts hold: all of these texts together could give the evidence
+    by_text = held.select("text_id", F.explode("entities").alias("entity")).groupBy("entity", "text_id").agg(F.count(F.lit(1)).alias("n"))
+    entities = by_text.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).withColumn("ic", bits(n) - bits(F.col("n_entity")))
+    entities = written(entities.where(F.col("n_texts") * F.col("ic") >= needed), "disclosure-entities")
+    # a word's share of the bits allows it so many documents beside those of the entity
+    most = F.col("n_entity") * F.pow(F.lit(2.0), (1 - disclosure) * F.col("ic"))
+    rows = held.select("row_id", "text_id", F.explode("entities").alias("entity")).join(entities.select("entity", most.alias("most")), "entity")
+    rows = written(rows, "disclosure-rows")
+    in_play = rows.groupBy("row_id", "text_id").agg(F.max("most").alias("most"))
+    words = row_words.join(in_play.select("row_id", "most"), "row_id")
+    asked = written(words.select("word").distinct(), "disclosure-asked")
+    everywhere = docs.select(F.explode(words_of(text_or_empty())).alias("word")).join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_all"))
+    # documents where a word stands in base spans alone do not count
+    inside = held.select("row_id", F.explode(words_of(F.col("text"))).alias("word")).join(asked, "word", "left_semi").join(row_words, ["row_id", "word"], "left_anti")
+    per_inside = inside.groupBy("word").agg(F.count(F.lit(1)).alias("n_inside"))
+    n_word = F.col("n_all") - F.coalesce("n_inside", F.lit(0))
+    counts = everywhere.join(per_inside, "word", "left").select("word", n_word.alias("n_word"))
+    rare = written(words.join(counts, "word").where(F.col("n_word") <= F.col("most") * (1 + 1e-9)).select("row_id", "word", "n_word"), "disclosure-rare")
+
+    pairs = rows.join(rare, "row_id").where(F.col("n_word") <= F.col("most") * (1 + 1e-9))
+    together = pairs.groupBy("entity", "word", "n_word", "text_id").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "word", "n_word").agg(
+        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")
+    )
+    scored = together.join(entities.select("entity", "n_entity", "ic"), "entity").withColumn(
+        "pmi", bits(n) + bits(F.col("n_both")) - bits(F.col("n_word")) - bits(F.col("n_entity"))
     )
-    return scored.where(F.col("pmi") >= disclosure * F.col("ic")).select("entity", "word", "pmi", "ic")
+    told = (F.col("pmi") >= disclosure * F.col("ic") - 1e-9) & (F.col("n_texts") * F.col("pmi") >= needed - 1e-9)
+    return scored.where(told).select("entity", "word", "pmi", "ic")
 
 
 def added_spans(docs: DataFrame, spanned: DataFrame, **params) -> DataFrame:
-    """(row_id, added): spans of kind ``term``, outside the base spans."""
-    told = written(disclosing_words(docs, spanned, **params), "disclosure-words")
-    words = contexts(spanned).select(
-        "row_id", "start", "entity", F.explode(found(F.col("line"), WORD)).alias("w")
-    ).select("row_id", "entity", F.lower("w.value").alias("word"), (F.col("start") + F.col("w.start")).alias("from"), (F.col("start") + F.col("w.end")).alias("to"))
-    hits = words.join(told.select("entity", "word"), ["entity", "word"], "left_semi").select("row_id", "from", "to", "word").distinct()
-    term = span(F.col("from"), F.col("to"), KINDS.index("term"), F.col("word"))
-    return hits.groupBy("row_id").agg(F.collect_list(term).alias("found"))
+    """(row_id, found): the places of disclosing words, outside base spans, in documents that hold their entity."""
+    words = written(free_words(spanned), "disclosure-words")
+    told = written(disclosing_words(docs, spanned, words, **params).select("entity", "word"), "disclosure-told")
+    marked = spanned.where(F.size("entities") > 0).select("row_id", F.explode("entities").alias("entity")).join(told, "entity").select("row_id", "word").distinct()
+    hits = words.join(marked, ["row_id", "word"], "left_semi")
+    return hits.groupBy("row_id").agg(F.collect_list(span(F.col("start"), F.col("end"), KINDS.index("term"), F.col("word"))).alias("found"))
 
 
 def sanitise_spans(docs: DataFrame, **params) -> DataFrame:
     """One row per document: row_id, doc_id, base (spans), spans (base and added, sorted)."""
     spanned = with_base_spans(docs)
     added = added_spans(docs, spanned, **params)
-    free = lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+    none = F.array().cast(SPANS)
     return (
         spanned.select("row_id", "doc_id", F.col("spans").alias("base"))
         .join(added, "row_id", "left")
-        .withColumn("spans", F.array_sort(F.concat("base", F.filter(F.coalesce("found", F.array().cast(SPANS)), free))))
+        .withColumn("spans", F.array_sort(F.concat("base", F.coalesce("found", none))))
         .drop("found")
     )
 

@@ -410,63 +410,94 @@ def test_base_spans_on_awkward_texts(spark):
 
 def disclosing_by_force(texts):
     """(entity, word) pairs by their definition."""
-    lines = [line for t in texts for line in (t or "").split("\n")]
-    words = lambda s: {w.lower() for w in re.findall(r"[^\W_]+", s)}
-    held = []
-    for line in lines:
-        for e in {line[a:b].lower() for a, _, b, _ in base_by_force(line)}:
-            held.append((e, line))
-    n_entity = collections.Counter(e for e, _ in held)
-    n_word = collections.Counter(w for line in lines for w in words(line))
-    n_both, contexts = collections.Counter(), collections.defaultdict(set)
-    for e, line in held:
-        for w in words(line):
-            n_both[e, w] += 1
-            contexts[e, w].add(line)
-    out = set()
-    for (e, w), n in n_both.items():
-        ic = np.log2(len(lines) / n_entity[e])
-        pmi = np.log2(len(lines) * n / n_word[w] / n_entity[e])
-        if len(contexts[e, w]) >= disclosure.MIN_CONTEXTS and w not in e and pmi >= disclosure.DISCLOSURE * ic - 1e-9:
-            out.add((e, w))
+    texts = [t or "" for t in texts]
+    spans = [[(a, b) for a, _, b, _ in base_by_force(t)] for t in texts]
+    entities = [{t[a:b].lower() for a, b in own} for t, own in zip(texts, spans)]
+    words = [
+        {m[0].lower() for m in re.finditer(r"[^\W_]+", t) if not any(a < m.end() and m.start() < b for a, b in own)}
+        for t, own in zip(texts, spans)
+    ]
+    pairs = sum(len(e) * len(w) for e, w in zip(entities, words))
+    needed = disclosure.MARGIN + np.log2(max(pairs, 1))
+    n, out = len(texts), set()
+    n_word = collections.Counter(w for own in words for w in own)
+    for e in set().union(*entities):
+        holding = [i for i in range(n) if e in entities[i]]
+        ic = np.log2(n / len(holding))
+        for w in set().union(*(words[i] for i in holding)):
+            both = [i for i in holding if w in words[i]]
+            pmi = np.log2(n * len(both) / n_word[w] / len(holding))
+            if pmi >= disclosure.DISCLOSURE * ic - 1e-9 and len({texts[i] for i in both}) * pmi >= needed - 1e-9:
+                out.add((e, w))
     return out
 
 
 @pytest.fixture(scope="module")
 def told_rows():
-    texts = [f"Common words here {i}\nWrite to Quirin the baker at jo@x.org, room {i}" for i in range(6)]
-    texts += ["Call the office at +1 499 555 6503\nthe end"] * 9  # copies disclose nothing
-    texts += [f"the words and the room {i}" for i in range(40)]
+    texts = [f"Quirin the baker\nstall {i}\nWrite to jo@x.org, room {i}\nask for Quirin" for i in range(9)]
+    texts += ["Call the office at +1 499 555 6503\nthe end of Mabel"] * 9  # copies disclose nothing
+    texts += [f"the words and the room {i} of a stall" for i in range(60)]
     return [(i, t) for i, t in enumerate(texts)]
 
 
 def test_disclosing_words(spark, told_rows):
     df = spark.createDataFrame(told_rows, "doc_id long, text string")
     spanned = disclosure.with_base_spans(df)
-    got = {(r.entity, r.word) for r in disclosure.disclosing_words(df, spanned).collect()}
+    got = {(r.entity, r.word) for r in disclosure.disclosing_words(df, spanned, disclosure.free_words(spanned)).collect()}
     assert got == disclosing_by_force([t for _, t in told_rows])
     assert ("jo@x.org", "quirin") in got and not any(e.startswith("+1") for e, _ in got) and ("jo@x.org", "room") not in got
     out = {r.doc_id: r for r in disclosure.sanitise_spans(df).collect()}
-    marked = [told_rows[0][1][s.start : s.end] for s in out[0].spans if s.kind == "term"]
-    assert "Quirin" in marked and "baker" in marked and "room" not in marked
+    text = told_rows[0][1]
+    marked = [(s.start, text[s.start : s.end]) for s in out[0].spans if s.kind == "term"]
+    # on other lines than the address, before and after it, as often as they stand there
+    assert (0, "Quirin") in marked and (text.rindex("Quirin"), "Quirin") in marked and "baker" in dict(map(reversed, marked)) and "room" not in dict(map(reversed, marked))
     clean = df.join(spark.createDataFrame([(0, out[0].spans)], f"doc_id long, spans {disclosure.SPANS}"), "doc_id")
     text = clean.select(disclosure.sanitised(F.col("text"), F.col("spans"))).first()[0]
-    assert "Quirin" not in text and "jo@x.org" not in text and "<EMAIL>" in text and "<TERM>" in text and text.startswith("Common words")
+    assert "Quirin" not in text and "jo@x.org" not in text and "<EMAIL>" in text and "<TERM>" in text and "room 0" in text
+
+
+def test_random_corpora_equal_brute_force(spark):
+    rng = np.random.default_rng(12)
+    names, common = [f"name{i}" for i in range(12)], [f"word{i}" for i in range(30)]
+    rows = []
+    for i in range(160):
+        who = int(rng.integers(0, 12))
+        lines = [" ".join(rng.choice(common, 5)) for _ in range(3)]
+        if i % 4 == 1 and rng.random() < 0.9 or rng.random() < 0.02:
+            lines.insert(int(rng.integers(0, 3)), f"{names[who]} {names[who][::-1]}")
+        if i % 4 == 1:
+            lines.insert(int(rng.integers(0, 3)), f"{names[who]}@mail.org 10.0.0.{who}")
+        rows.append((i, None if i == 7 else "\n".join(lines)))
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spanned = disclosure.with_base_spans(df)
+    got = {(r.entity, r.word) for r in disclosure.disclosing_words(df, spanned, disclosure.free_words(spanned)).collect()}
+    assert got == disclosing_by_force([t for _, t in rows]) and len(got) > 10
 
 
 def test_words_that_are_part_of_the_entity_disclose_it(spark):
-    texts = [f"ask Anna Smith, anna.smith@mail.org for {i}" for i in range(5)] + ["write to anna.smith@mail.org"] * 2
-    texts += [f"ask the office for {i}" for i in range(40)]
+    texts = [f"ask Anna Smith\nanna.smith@mail.org for {i}" for i in range(8)] + ["write to anna.smith@mail.org"] * 2
+    texts += [f"ask the office for {i}" for i in range(70)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = {r.doc_id: r for r in disclosure.sanitise_spans(df).collect()}
     for i, text in enumerate(texts):
         marked = [text[s.start : s.end] for s in out[i].spans if s.kind == "term"]
-        assert marked == (["Anna", "Smith"] if i < 5 else [])
+        assert marked == (["Anna", "Smith"] if i < 8 else [])
     spanned = disclosure.with_base_spans(df)
-    got = {r.word: (r.pmi, r.ic) for r in disclosure.disclosing_words(df, spanned).collect()}
+    got = {r.word: (r.pmi, r.ic) for r in disclosure.disclosing_words(df, spanned, disclosure.free_words(spanned)).collect()}
     assert set(got) == {"anna", "smith"} and all(pmi == pytest.approx(ic) for pmi, ic in got.values())
 
 
+def test_words_that_meet_base_spans_are_left_out(spark):
+    text = "aaaaa bbb ccccc ddd eeeee fff ggggg"
+    base = [("email", 2, 7), ("ip", 4, 18), ("card", 17, 18), ("phone", 28, 29)]
+    rows = [(s, disclosure.KINDS.index(k), e, k, "x") for k, s, e in base]
+    spanned = spark.createDataFrame([(1, text, rows, ["x"]), (2, text, [], [])], f"row_id long, text string, spans {disclosure.SPANS}, entities array<string>")
+    got = [(r.start, r.end, r.word) for r in disclosure.free_words(spanned).collect()]
+    want = [(m.start(), m.end(), m[0]) for m in re.finditer(r"\w+", text) if not any(s < m.end() and m.start() < e for _, s, e in base)]
+    assert sorted(got) == want == [(20, 25, "eeeee"), (30, 35, "ggggg")]
+
+
 def test_disclosure_awkward_rows(spark):
     rows = [(1, None), (1, None), (None, "a@b.cc\na@b.cc"), (2, ""), (3, "line\n" * 20_000 + "q@r.ss" + " 1.2.3.4" * 2_000)]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, spans string, row_id int")
