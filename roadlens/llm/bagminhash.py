@@ -163,7 +163,10 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def full_bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, bag): the written bags, as sets of occurrences, of the rows (node, digest, doc_id) of ``wanted``."""
+    """(node, bag): the written bags, as sets of occurrences, of the rows (node, digest, doc_id) of ``wanted``.
+
+    Repeated rows of one doc_id and text are one node and give one bag.
+    """
 
     def run(batches):
         for batch in batches:
@@ -176,7 +179,7 @@ def full_bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("digest", F.sha2("text", 256))
     same = (F.col("t.digest") == F.col("w.digest")) & F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))
-    rows = texts.alias("t").join(wanted.alias("w"), same).select("w.node", "t.text")
+    rows = texts.alias("t").join(wanted.alias("w"), same).select("w.node", "t.text").groupBy("node").agg(F.any_value("text").alias("text"))
     return written(rows.mapInArrow(run, "node long, bag array<long>"), "bagminhash-bags")
 
 

@@ -448,6 +448,16 @@ def test_mix_query(spark, rows):
         assert abs(words - expected[name]) < 0.06 * expected[name]
 
 
+def test_repeated_rows_of_a_pair_meet_as_one_bag_each(spark):
+    base = [f"w{i}" for i in range(100)]
+    left, right = " ".join(base), " ".join([*base[:97], "x", "y", "z"])
+    df = spark.createDataFrame([(1, left)] * 1000 + [(2, right)] * 1000 + [(3, "something else altogether")], "doc_id long, text string")
+    wanted = bagminhash.signed(df).select(F.col("row_id").alias("node"), "digest", "doc_id").dropDuplicates(["digest"])
+    assert bagminhash.full_bags(df, wanted).count() == 3
+    out = bagminhash.near_duplicates(df).groupBy("doc_id", "class_id", "class_size").agg(F.count(F.lit(1)), F.sum(F.col("kept").cast("int"))).collect()
+    assert sorted(map(tuple, out)) == [(1, 1, 2000, 1000, 1), (2, 1, 2000, 1000, 0), (3, 3, 1, 1, 1)]
+
+
 def test_mix_plain_bernoulli_probability(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("source"))
     rates = source_mix.mix_rates(df, weights=(1.0, 3.0), share=0.9, calibrate=False)
