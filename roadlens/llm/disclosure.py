@@ -165,7 +165,9 @@ def free_words(spanned: DataFrame) -> DataFrame:
     far decides; so does a span that begins inside the word.
     """
     words = F.transform(found(F.col("text"), WORD), lambda w: span(w["start"], w["end"], KINDS.index("term"), w["value"]))
-    both = spanned.where(F.size("entities") > 0).select("row_id", F.explode(F.concat(words, "spans")).alias("s"))
+    # texts are dealt out by row before their words are taken apart, which spares the windows a shuffle of the words
+    rows = spanned.where(F.size("entities") > 0).repartition("row_id")
+    both = rows.select("row_id", F.explode(F.concat(words, "spans")).alias("s"))
     both = both.withColumn("word", F.col("s.kind") == "term")
     order = Window.partitionBy("row_id").orderBy("s.start", "word", "s.end")
     back = Window.partitionBy("row_id").orderBy(F.desc("s.start"), F.desc("word"), F.desc("s.end"))
@@ -196,7 +198,8 @@ def disclosing_words(docs: DataFrame, spanned: DataFrame, words: DataFrame, disc
     in_play = rows.groupBy("row_id", "text_id").agg(F.max("most").alias("most"))
     words = row_words.join(in_play.select("row_id", "most"), "row_id")
     asked = written(words.select("word").distinct(), "disclosure-asked")
-    everywhere = docs.select(F.explode(words_of(text_or_empty())).alias("word")).join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_all"))
+    # counted before the join: a task sends a row per different word, not per occurrence
+    everywhere = docs.select(F.explode(words_of(text_or_empty())).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_all")).join(asked, "word", "left_semi")
     # documents where a word stands in base spans alone do not count
     inside = held.select("row_id", F.explode(words_of(F.col("text"))).alias("word")).join(asked, "word", "left_semi").join(row_words, ["row_id", "word"], "left_anti")
     per_inside = inside.groupBy("word").agg(F.count(F.lit(1)).alias("n_inside"))
