@@ -158,7 +158,7 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
 
 
 def free_words(spanned: DataFrame) -> DataFrame:
-    """(row_id, start, end, word): every word, in lower case, that meets no base span, of rows with spans.
+    """(row_id, free): for rows with spans, (start, end, word) of every word, in lower case, that meets no base span.
 
     One pass over words and spans of a row, sorted by start: a span that begins
     before a word and ends after the word's start meets it, so the furthest end so
@@ -166,7 +166,8 @@ def free_words(spanned: DataFrame) -> DataFrame:
     """
     words = F.transform(found(F.col("text"), WORD), lambda w: span(w["start"], w["end"], KINDS.index("term"), w["value"]))
     # texts are dealt out by row before their words are taken apart, which spares the windows a shuffle of the words
-    rows = spanned.where(F.size("entities") > 0).repartition("row_id")
+    tasks = int(spanned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = spanned.where(F.size("entities") > 0).repartition(tasks, "row_id")
     both = rows.select("row_id", F.explode(F.concat(words, "spans")).alias("s"))
     both = both.withColumn("word", F.col("s.kind") == "term")
     order = Window.partitionBy("row_id").orderBy("s.start", "word", "s.end")
@@ -175,7 +176,7 @@ def free_words(spanned: DataFrame) -> DataFrame:
     following = F.min(F.when(~F.col("word"), F.col("s.start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     meets = F.coalesce(until > F.col("s.start"), F.lit(False)) | F.coalesce(following < F.col("s.end"), F.lit(False))
     free = both.withColumn("meets", meets).where(F.col("word") & ~F.col("meets"))
-    return free.select("row_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.lower("s.value").alias("word"))
+    return free.groupBy("row_id").agg(F.collect_list(F.struct("s.start", "s.end", F.lower("s.value").alias("word"))).alias("free"))
 
 
 def disclosing_words(docs: DataFrame, spanned: DataFrame, words: DataFrame, disclosure: float = DISCLOSURE, margin: float = MARGIN) -> DataFrame:
@@ -183,8 +184,8 @@ def disclosing_words(docs: DataFrame, spanned: DataFrame, words: DataFrame, disc
     bits = lambda x: F.log2(x.cast("double"))
     n = F.lit(float(max(spanned.count(), 1)))
     held = spanned.where(F.size("entities") > 0).select("row_id", F.xxhash64("text").alias("text_id"), "text", "entities")
-    row_words = written(words.select("row_id", "word").distinct(), "disclosure-row-words")
-    pairs = row_words.groupBy("row_id").count().join(held, "row_id").agg(F.sum(F.col("count") * F.size("entities"))).first()[0]
+    own = words.select("row_id", F.array_distinct("free.word").alias("own"))
+    pairs = own.join(held.select("row_id", "entities"), "row_id").agg(F.sum(F.size("own").cast("long") * F.size("entities"))).first()[0]
     needed = margin + math.log2(max(pairs or 0, 1))
 
     # entities that enough different texts hold: all of these texts together could give the evidence
@@ -196,13 +197,15 @@ def disclosing_words(docs: DataFrame, spanned: DataFrame, words: DataFrame, disc
     rows = held.select("row_id", "text_id", F.explode("entities").alias("entity")).join(entities.select("entity", most.alias("most")), "entity")
     rows = written(rows, "disclosure-rows")
     in_play = rows.groupBy("row_id", "text_id").agg(F.max("most").alias("most"))
-    words = row_words.join(in_play.select("row_id", "most"), "row_id")
+    row_words = own.join(in_play.select("row_id", "most"), "row_id").select("row_id", "most", F.explode("own").alias("word"))
+    words = written(row_words, "disclosure-row-words")
     asked = written(words.select("word").distinct(), "disclosure-asked")
     # counted before the join: a task sends a row per different word, not per occurrence
     everywhere = docs.select(F.explode(words_of(text_or_empty())).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_all")).join(asked, "word", "left_semi")
     # documents where a word stands in base spans alone do not count
-    inside = held.select("row_id", F.explode(words_of(F.col("text"))).alias("word")).join(asked, "word", "left_semi").join(row_words, ["row_id", "word"], "left_anti")
-    per_inside = inside.groupBy("word").agg(F.count(F.lit(1)).alias("n_inside"))
+    none = F.array().cast("array<string>")
+    inside = held.select("row_id", "text").join(own, "row_id", "left").select(F.explode(F.array_except(words_of(F.col("text")), F.coalesce("own", none))).alias("word"))
+    per_inside = inside.join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_inside"))
     n_word = F.col("n_all") - F.coalesce("n_inside", F.lit(0))
     counts = everywhere.join(per_inside, "word", "left").select("word", n_word.alias("n_word"))
     rare = written(words.join(counts, "word").where(F.col("n_word") <= F.col("most") * (1 + 1e-9)).select("row_id", "word", "n_word"), "disclosure-rare")
@@ -223,7 +226,8 @@ def added_spans(docs: DataFrame, spanned: DataFrame, **params) -> DataFrame:
     words = written(free_words(spanned), "disclosure-words")
     told = written(disclosing_words(docs, spanned, words, **params).select("entity", "word"), "disclosure-told")
     marked = spanned.where(F.size("entities") > 0).select("row_id", F.explode("entities").alias("entity")).join(told, "entity").select("row_id", "word").distinct()
-    hits = words.join(marked, ["row_id", "word"], "left_semi")
+    places = words.join(marked.select("row_id").distinct(), "row_id", "left_semi").select("row_id", F.inline("free"))
+    hits = places.join(marked, ["row_id", "word"], "left_semi")
     return hits.groupBy("row_id").agg(F.collect_list(span(F.col("start"), F.col("end"), KINDS.index("term"), F.col("word"))).alias("found"))
 
 
