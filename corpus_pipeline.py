@@ -4,6 +4,14 @@ Every stage is a function (spark, docs, sf_dir) -> DataFrame that calls one
 operator of ``roadlens.llm``; its result is written as Parquet and read again
 as the next stage's ``docs``. All stages but the last return the columns of
 documents.
+
+Defined cases: null text counts as empty in every stage; rows with a null doc_id
+or source are documents like others (a null doc_id is never held out of the
+classifier's training and loses ties, a null source is a source of its own);
+repeated rows are equal texts, so exact dedup keeps one; very long texts are
+read whole; an empty table passes all stages and gives no pieces; columns that
+documents have besides their own are carried through all stages but packing,
+whatever their names.
 """
 
 from __future__ import annotations
