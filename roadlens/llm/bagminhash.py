@@ -352,7 +352,8 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     """The rows of ``docs`` that stay: one of each class, with all its columns."""
     kept = near_duplicates(docs, similarity).where("kept").select(F.col("digest").alias("__digest"), F.col("doc_id").alias("__doc_id"))
     digest = F.sha2(text_or_empty(), 256)
-    rows = docs.withColumn("__row_digest", digest).withColumn("__row_doc_id", F.col("doc_id").cast("long"))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")  # whatever the names of other columns
+    rows = docs.select(own, digest.alias("__row_digest"), F.col("doc_id").cast("long").alias("__row_doc_id"))
     same = (F.col("__row_digest") == F.col("__digest")) & F.col("__row_doc_id").eqNullSafe(F.col("__doc_id"))
     # of repeated rows with one doc_id and text, one stays
-    return rows.join(kept, same, "left_semi").dropDuplicates(["__row_digest", "__row_doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["__row_digest", "__row_doc_id"]).select("__row.*")

@@ -146,6 +146,8 @@ def copies_per_document(docs: DataFrame, rates: DataFrame, seed: int = 9) -> Dat
 
 def mix_sources(docs: DataFrame, seed: int = 9, **params) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each repeated as often as the mix takes it."""
-    out = copies_per_document(docs, mix_rates(docs, seed=seed, **params), seed)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*own).alias("__mix_row"), "doc_id", "text", "source")  # whatever the names of other columns
+    out = copies_per_document(rows, mix_rates(docs, seed=seed, **params), seed)
     copy = F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))
-    return out.where(F.col("__mix_copies") > 0).select(*[F.col(f"`{c}`") for c in docs.columns], copy.alias("__mix_copy")).drop("__mix_copy")
+    return out.where(F.col("__mix_copies") > 0).select("__mix_row", copy.alias("__mix_copy")).select("__mix_row.*")

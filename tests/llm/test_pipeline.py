@@ -90,3 +90,49 @@ def test_run_equals_the_stages(spark, sf_dir, stages):
     whole = lambda rows: collections.Counter((p.doc_id, p.doc_tokens) for p in rows if p.start == 0)
     assert whole(run) == whole(stages[5][2]) and sum(p.length for p in run) == sum(p.length for p in stages[5][2])
     assert len({key(p) for p in run}) > 0
+
+
+def awkward(spark, rows):
+    """Documents with columns named like those that the operators use inside."""
+    extra = "row_id int, digest string, x string, score string, label string, keep_id int, bucket int, first string, text_sha256 string, __mix_copies int"
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {extra}"
+    own = (7, "d", "x", "s", "l", 5, 3, "f", "t", 9)
+    return spark.createDataFrame([(d, t, "en", s, n, *own) for d, t, s, n in rows], schema)
+
+
+def test_stages_on_awkward_rows(spark, sf_dir):
+    good = [r.text for r in table(spark, sf_dir, "documents").orderBy("doc_id").limit(40).collect()]
+    rows = [(i, t, "web" if i % 3 else None, len(t)) for i, t in enumerate(good)]
+    rows += rows[:5] * 2 + [(None, good[6], "web", None), (None, None, None, None), (900, None, "", 0), (901, "", "web", 0), (902, " \n\t ", None, 5)]
+    rows += [(903, " ".join(good) * 20, "books", 1), (904, "x" * 300_000, "books", 1), (905, good[7] + " ", "web", 1)]
+    docs = awkward(spark, rows)
+    given = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = written(stage(spark, docs, sf_dir), "test-awkward")
+        held = [tuple(r) for r in docs.collect()]
+        assert docs.columns == awkward(spark, []).columns and set(held) <= given, name
+        assert len(held) <= before or name.startswith("mixing")
+        if name == "exact dedup":
+            assert len({r[1] or "" for r in held}) == len(held)
+    packed = corpus_pipeline.pack(spark, docs, sf_dir).collect()
+    assert sum(p.start == 0 for p in packed) == docs.count() > 5
+
+
+def test_each_stage_alone_takes_awkward_rows(spark, sf_dir):
+    """Also rows that the classifier would not let through to the later stages."""
+    rows = [(1, None, None, None), (1, None, None, None), (None, "", "a", 0), (2, "same text here", "a", 1), (3, "same text here", None, 1), (4, "w " * 50_000, "b", 1)]
+    docs = awkward(spark, rows)
+    sizes = {}
+    for name, stage in corpus_pipeline.STAGES:
+        sizes[name] = stage(spark, docs, sf_dir).count()
+    assert sizes["exact dedup"] == sizes["MinHash near-dedup"] == 3 and sizes["packing"] >= 6
+
+
+def test_an_empty_table_passes_all_stages(spark, sf_dir):
+    docs = awkward(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert out.collect() == [], name
+        docs = docs if name == "packing" else written(out, "test-empty")
+        assert name == "packing" or docs.columns == awkward(spark, []).columns
