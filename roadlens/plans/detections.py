@@ -18,7 +18,7 @@ from roadlens.operators.chunked_tracking import track_ids_chunked, tracked_rows
 from roadlens.plans.oracle import DETECTIONS, with_views
 from roadlens.schemas import DETECTIONS as DETECTION_SCHEMA
 from roadlens.schemas import TRACKED
-from roadlens.session import scratch_path
+from roadlens.session import cut_lineage, scratch_path
 from roadlens.sources.adapters import raw_detections
 from roadlens.streaming.live_tracks import run_available
 
@@ -55,7 +55,8 @@ def evaluated(s, d, tracker=False):
     p = proc(s, d)
     vehicles = dt.vehicles(p)
     if tracker:
-        t = track_ids_chunked(vehicles, P.frame_skip, P.iou_threshold, CHUNK_FRAMES)
+        # read by several joins below
+        t = cut_lineage(track_ids_chunked(vehicles, P.frame_skip, P.iou_threshold, CHUNK_FRAMES))
     else:
         t = vehicles.withColumn("track_id", F.col("det_id").cast("bigint"))
     return dt.evaluate(t, p, P, with_helmets=True)
