@@ -185,6 +185,40 @@ def test_examples_are_prefixes_with_one_trained_reply(spark):
         assert [r.loss_start for r in got] == [w[2] for w in want]
 
 
+def test_digests_are_read_from_written_examples(spark):
+    talks = {
+        1: [("system", "be brief"), ("user", "hi"), ("assistant", "<|im_end|>hello<"), ("user", "more"), ("assistant", "\\")],
+        2: [("assistant", "first"), ("assistant", ""), ("user", "left open")],
+        3: [("user", "only <s> me")],
+        4: [(("user", "assistant")[i % 2], f"t{i}<|im_sep") for i in range(2 * prefix_chat.RUN + 5)],  # contexts of several pieces
+        None: [("user", "é"), ("assistant", "\U0001f600")],
+    }
+    rows = [(c, t, role, text) for c, turns in talks.items() for t, (role, text) in enumerate(turns)]
+    stream = prefix_chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5))
+    texts, losses = {}, {}
+    pieces = prefix_chat.expanded(stream)
+    for r in prefix_chat.read_examples(pieces).orderBy("piece").collect():
+        key = (r.conv_id, r.turns)
+        assert r.start == len(texts.get(key, "")) and len(r.read) <= prefix_chat.RUN
+        texts[key] = texts.get(key, "") + r.text
+        if r.loss_start is not None:
+            losses[key] = (r.loss_start, r.loss_end, r.loss_text)
+    for c, turns in talks.items():
+        want = expanded_by_force(turns)
+        mine = sorted(k for k in texts if k[0] == c)
+        assert [texts[k] for k in mine] == [w[0] for w in want]
+        assert [losses[k][:2] if k in losses else None for k in mine] == [None if w[1] is None else (w[2], w[2] + len(w[1])) for w in want]
+        assert [losses[k][2] for k in mine if k in losses] == [text for role, text in turns if role == "assistant"]
+    # what the texts say is what counts: the digests come from no other table
+    out = {r.conv_id: r for r in prefix_chat.digests(stream).collect()}
+    for c, turns in talks.items():
+        assert out[c].n_turns == len(turns) and out[c].formatted_chars == sum(len(w[0]) for w in expanded_by_force(turns))
+        assert out[c].turns_sha256 == hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in turns).encode()).hexdigest()
+        assert out[c].loss_sha256 == hashlib.sha256("".join(text for role, text in turns if role == "assistant").encode()).hexdigest()
+    with pytest.raises(ValueError):
+        prefix_chat.read_examples(pieces, prefix_chat.Template(end="aa"))
+
+
 def test_chat_awkward_rows(spark):
     schema = "conv_id long, turn long, role string, text string, position string, segment string"
     rows = [
