@@ -191,3 +191,68 @@ def test_live_tracks_timer_flushes_the_newest_frame(spark):
     finally:
         query.stop()
     assert sorted((r.frame_id, r.track_id) for r in spark.table(name).collect()) == [(0, 0), (2, 0)]
+
+
+def test_live_tracks_ask_the_state_by_stretch_not_by_frame():
+    """A video of 4,000 frames in shuffled batches: tracks of the batch tracker, few calls to the state, the newest frame waits."""
+    import numpy as np
+    import pandas as pd
+
+    from roadlens.operators.tracking import VideoTracker
+    from roadlens.streaming.live_tracks import SPAN, TrackProcessor
+
+    class Value:
+        def __init__(self):
+            self.held = None
+
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, v):
+            self.held = v
+
+        put = update
+
+        def clear(self):
+            self.held = None
+
+    class Map:
+        def __init__(self):
+            self.held, self.calls = {}, 0
+
+        def _did(self, out=None):
+            self.calls += 1
+            return out
+
+        keys = lambda self: self._did(iter(list(self.held)))
+        containsKey = lambda self, k: self._did(k in self.held)
+        getValue = lambda self, k: self._did(self.held[k])
+        updateValue = lambda self, k, v: self._did(self.held.__setitem__(k, v))
+        removeKey = lambda self, k: self._did(self.held.pop(k))
+
+    class Handle:
+        listTimers = lambda self: []
+        registerTimer = deleteTimer = lambda self, t: None
+
+    class Clock:
+        getCurrentProcessingTimeInMs = lambda self: 0
+
+    tp = TrackProcessor(2, 0.3, 1000, 1000)
+    tp.handle, tp.front, tp.tracks, tp.waiting = Handle(), Value(), Value(), Map()
+    n = 4000
+    frame = np.repeat(np.arange(n) * 2, 2)
+    det = np.tile([0, 1], n)
+    x = frame * 3 + det * 4
+    rows = pd.DataFrame({"video_id": 7, "frame_id": frame, "det_id": det, "class_name": "car", "conf": 0.5, "x1": x, "y1": 0, "x2": x + 10, "y2": 10})
+    near = np.random.default_rng(3).permutation(len(rows) // 500)  # batches of 500 rows in any order
+    batches = [rows.iloc[k * 500 : (k + 1) * 500].sample(frac=1, random_state=int(k)) for k in near]
+    got = pd.concat(tp.handleInputRows((7,), iter(batches), Clock())).sort_values(["frame_id", "det_id"])
+    assert len(got) == len(rows) - 2 and tp.waiting.calls < n / 10
+    [((stretch, _), held)] = tp.waiting.held.items()
+    assert stretch == 2 * (n - 1) // SPAN and held[0] == [2 * (n - 1)] * 2
+    end = rows.iloc[:1].assign(det_id=None)
+    got = pd.concat([got, *tp.handleInputRows((7,), iter([end]), Clock())]).sort_values(["frame_id", "det_id"])
+    tr = VideoTracker(2, 0.3)
+    boxes = rows[["x1", "y1", "x2", "y2"]].to_numpy()
+    want = np.concatenate([tr.update(int(f), boxes[2 * k : 2 * k + 2]) for k, f in enumerate(frame[::2])])
+    assert got["track_id"].tolist() == want.tolist() and not tp.waiting.held and not tp.tracks.exists()
