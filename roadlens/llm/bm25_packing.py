@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.common import small_slices, text_or_empty, utf8_buffers, written
 from roadlens.llm.token_ids import encoder
+from roadlens.session import settings
 
 WINDOW = 2048
 SHARD_TOKENS = 2_000_000
@@ -44,6 +45,8 @@ SHARD_TOKENS = 2_000_000
 NEIGHBOURS = 64
 COMMON = 8
 BATCH_BYTES = 4 << 20
+#: Rows come to the workers in batches of so many bytes, not of 10,000 rows, which are held on both sides.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
 K1, B = 1.2, 0.75
 
 ENCODED = "doc_id long, n_tokens long, ids binary, counts binary"
@@ -78,7 +81,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, vocabula
             yield _row_batch(pa.array([ids_seen], pa.int64()), np.array([docs_seen]), [None], [df.astype("<i8").tobytes()])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return written(rows.mapInArrow(run, ENCODED), "packing-encoded")
+    with settings(docs.sparkSession, SMALL_BATCHES):
+        return written(rows.mapInArrow(run, ENCODED), "packing-encoded")
 
 
 def term_counts(ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,7 +176,8 @@ def placed_documents(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, mean_l
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("ids"), *map(pa.array, place)], names=["doc_id", "ids", "first", "second"])
 
     rows = encoded.where(F.col("counts").isNull()).select("doc_id", "ids")
-    return written(rows.mapInArrow(run, PLACED), "packing-placed")
+    with settings(encoded.sparkSession, SMALL_BATCHES):
+        return written(rows.mapInArrow(run, PLACED), "packing-placed")
 
 
 class ShardIndex:

@@ -1,4 +1,4 @@
-"""Session helpers: the caller owns the SparkSession; we only read settings.
+"""Session helpers: the caller owns the SparkSession; we read settings, or change them for one write or query.
 
 Scratch output (round trips, stream checkpoints) lives under the shared
 folder named by ``spark.checkpoint.dir``. A local default is set only when
@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +52,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/roadlens/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Queries started or tables written inside have these settings; the session's own come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
     spark = df.sparkSession

@@ -25,7 +25,6 @@ Needs Spark's RocksDB state store: ``settings`` sets it while a query starts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -36,6 +35,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from roadlens.operators.tracking import VideoTracker, _frame_bounds
 from roadlens.schemas import DETECTIONS, TRACKED
+from roadlens.session import settings
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 #: With processing-time timers Spark runs batches without data for ever, also after the last available file.
@@ -50,19 +50,6 @@ _TRACK = "track_id long, x1 long, y1 long, x2 long, y2 long"
 _BOXES = "frame_id array<long>, det_id array<int>, class_name array<string>, conf array<double>, x1 array<int>, y1 array<int>, x2 array<int>, y2 array<int>"
 
 
-@contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]):
-    """Queries started inside have these settings; the session's own come back afterwards."""
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 class TrackProcessor(StatefulProcessor):
     def __init__(self, frame_skip: int, threshold: float, flush_after_ms: int, forget_after_ms: int) -> None:
         self.frame_skip, self.threshold = frame_skip, threshold
