@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import small_slices, text_or_empty, utf8_buffers, written
-from roadlens.llm.token_ids import encoder
+from roadlens.llm.token_ids import encoder, stretches
 from roadlens.session import settings
 
 WINDOW = 2048
@@ -86,13 +86,17 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, vocabula
 
 
 def term_counts(ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(term, owner, count) of the different pairs, by term and then owner; ``owner`` rises. 16-bit ids sort by radix."""
-    order = np.argsort(ids, kind="stable")
-    term, owner = ids[order], owner[order]
-    first = np.ones(len(term), bool)
-    first[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
+    """(term, owner, count) of the different pairs, by term and then owner; ``owner`` rises. Both are sorted as one number."""
+    bits = int(owner[-1]).bit_length() if len(owner) else 0
+    wide = np.uint32 if ids.dtype.itemsize == 2 and bits <= 16 else np.uint64
+    pairs = ids.astype(wide) << wide(bits)
+    pairs |= owner.astype(wide)
+    pairs.sort()
+    first = np.ones(len(pairs), bool)
+    np.not_equal(pairs[1:], pairs[:-1], out=first[1:])
     at = np.flatnonzero(first)
-    return term[at], owner[at], np.diff(np.append(at, len(term)))
+    pairs = pairs[at]
+    return (pairs >> wide(bits)).astype(ids.dtype), (pairs & wide((1 << bits) - 1)).astype(owner.dtype), np.diff(np.append(at, len(first)))
 
 
 def bm25_weights(term: np.ndarray, owner: np.ndarray, tf: np.ndarray, sizes: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
@@ -216,8 +220,8 @@ class ShardIndex:
         asked[rows[rows >= 0]] = 1
         terms = terms[rows < 0]
         sizes = self.begin[terms.astype(np.int64) + 1] - self.begin[terms]
-        at = np.arange(sizes.sum()) + np.repeat(self.begin[terms] - np.cumsum(sizes) + sizes, sizes)
-        self.scores = np.bincount(self.owner[at], self.weight[at], len(self.unused)) + asked @ self.dense
+        at = stretches(self.begin[terms], sizes)
+        self.scores = np.bincount(self.owner.take(at), self.weight.take(at), len(self.unused)) + asked @ self.dense
 
     def neighbours(self) -> list[int]:
         """The next unused documents for the seed by falling score, ties to the earlier; empty when none is left."""

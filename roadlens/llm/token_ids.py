@@ -5,8 +5,10 @@ tokenizer crosses the cuts made here (at white space, and between letters and
 ASCII marks), so the ids of a text are the ids of its pieces in order. A batch
 is cut in vectorised passes over its bytes, and Arrow's dictionary encoding
 finds the distinct pieces, compared byte for byte; only these reach Python and
-the library. Each worker keeps the pieces it has met in two batches or more in a
-cache of bounded size; most pieces come once and would only take room there.
+the library, thousands of new ones a call. Where the tokenizer drops white
+space and case, so do the pieces, which leaves fewer of them. Each worker keeps
+the pieces it has met in two batches or more in a cache of bounded size; most
+pieces come once and would only take room there.
 Texts with unusual white space, and tokenizers of any other kind, are encoded
 whole. ``tests/llm`` holds both ways against each other.
 """
@@ -15,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from functools import lru_cache
 from itertools import chain
 
@@ -28,9 +29,6 @@ CACHE_PIECES = 600_000
 MET = 1 << 23
 LONGEST_HASHED = 64
 WHOLE, WORDS, SPACE_LED = "whole", "words", "space-led"
-#: One pretoken: Latin letters that keep their form under NFC, or ASCII marks (no apostrophe: contractions).
-_LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-SIMPLE = re.compile(f" ?(?:[{_LETTER}]+|[!-&(-/:-@\\[-`{{-~]+)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -52,11 +50,27 @@ MARKS = np.isin(np.arange(256), [*range(33, 48), *range(58, 65), *range(91, 97),
 APOSTROPHE = 39
 #: First bytes of two-byte letters, U+00C0 to U+017F but the two signs among them.
 LATIN_LEAD = np.isin(np.arange(256), [0xC3, 0xC4, 0xC5])
+#: Tables for ``bytes.translate``: what a byte is, as one bit, and whether unusual white space may begin there.
+A_LETTER, A_MARK, A_LEAD, A_SPACE = 1, 2, 4, 8
+BYTE_KINDS = (A_LETTER * LETTERS + A_MARK * MARKS + A_LEAD * LATIN_LEAD + A_SPACE * SPACES).astype(np.uint8).tobytes()
+SUSPECT_BYTES = SUSPECT.tobytes()
+#: ASCII capitals as small letters, all other bytes as they are.
+SMALL = bytes(range(256)).lower()
+SPACE_BYTES = bytes(np.flatnonzero(SPACES).tolist())
+#: What a piece holds, to be joined by "or": ASCII letters, marks, bytes of Latin letters up to U+023F, or what no simple piece has.
+LATIN, OTHER = 4, 8
+HOLDS = np.full(256, OTHER, np.uint8)
+HOLDS[LETTERS], HOLDS[MARKS], HOLDS[32], HOLDS[APOSTROPHE] = A_LETTER, A_MARK, 0, OTHER
+HOLDS[0x80:0xC0] = HOLDS[0xC3:0xC9] = LATIN
+HOLDS = HOLDS.tobytes()
+#: Pieces are handed to the library so many at a time, with this letter (the stand-in of a line feed) between them.
+MANY = 4096
+BETWEEN = BYTE_LETTERS[10]
 
 
 def unusual_space(data: np.ndarray) -> np.ndarray:
     """Positions in UTF-8 bytes where white space besides the six ASCII characters begins."""
-    at = np.flatnonzero(SUSPECT[data])
+    at = np.flatnonzero(np.frombuffer(data.tobytes().translate(SUSPECT_BYTES), bool))
     padded = np.concatenate([data, np.zeros(2, np.uint8)])
     a, b, c = padded[at], padded[at + 1], padded[at + 2]
     hit = a < 0x20
@@ -99,16 +113,47 @@ def pretoken_cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     starts, _ = piece_bounds(data, off, True)
     if len(data) < 2:
         return starts
-    letter, mark = LETTERS[data], MARKS[data]
-    lead = np.flatnonzero(LATIN_LEAD[data[:-1]])
+    cut = marks_apart(data, byte_kinds(data.tobytes()))
+    cut[starts[starts > 0] - 1] = False
+    return np.sort(np.concatenate([starts, np.flatnonzero(cut) + 1]), kind="stable")
+
+
+def byte_kinds(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw.translate(BYTE_KINDS), np.uint8)
+
+
+def marks_apart(data: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Whether a cut between a letter and an ASCII mark comes after each byte but the last."""
+    letter, mark = kinds == A_LETTER, kinds == A_MARK
+    lead = np.flatnonzero(kinds[:-1] == A_LEAD)
     lead = lead[(data[lead] != 0xC3) | (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
     begins, ends = letter.copy(), letter
     begins[lead] = True
     ends[lead + 1] = True
-    cut = mark[1:] & ends[:-1]
-    cut |= begins[1:] & mark[:-1] & (data[:-1] != APOSTROPHE)
-    cut[starts[starts > 0] - 1] = False
-    return np.sort(np.concatenate([starts, np.flatnonzero(cut) + 1]), kind="stable")
+    cut = begins[1:] & mark[:-1]
+    cut &= data[:-1] != APOSTROPHE
+    cut |= mark[1:] & ends[:-1]
+    return cut
+
+
+def word_cuts(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the pieces between white space, cut as ``pretoken_cuts`` does; their bytes in
+    small letters without the space, and their bounds there."""
+    raw = data.tobytes()
+    kinds = byte_kinds(raw)
+    solid = kinds != A_SPACE
+    start = solid.copy()
+    start[1:] &= ~solid[:-1]
+    start[off[:-1][off[:-1] < len(data)]] = True
+    start &= solid
+    if len(data) > 1:
+        start[1:] |= marks_apart(data, kinds)
+    end = solid.copy()
+    end[:-1] &= ~solid[1:] | start[1:]
+    starts = np.flatnonzero(start)
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(np.flatnonzero(end) + 1 - starts, out=bounds[1:])
+    return starts, np.frombuffer(raw.translate(SMALL, SPACE_BYTES), np.uint8), bounds
 
 
 def piece_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -125,6 +170,21 @@ def piece_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return names
 
 
+def stretches(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``begins[i]`` to ``begins[i] + sizes[i] - 1`` of every i, one after the other."""
+    upto = np.cumsum(sizes, dtype=np.int64)
+    out = np.repeat(begins - upto + sizes, sizes)
+    out += np.arange(len(out))
+    return out
+
+
+def lone_signs(raw: bytes) -> np.ndarray:
+    """Positions of the two-byte signs among Latin letters, and of the capital that small letters spell as two."""
+    data = np.frombuffer(raw, np.uint8)
+    lead, then = data[:-1], data[1:]
+    return np.flatnonzero((lead == 0xC3) & ((then == 0x97) | (then == 0xB7)) | (lead == 0xC4) & (then == 0xB0))
+
+
 class Encoder:
     """Ids for batches of texts; one instance a worker process (see ``encoder``)."""
 
@@ -134,7 +194,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kind = self._kind(json.loads(self.tokenizer.to_str()))
+        spec = json.loads(self.tokenizer.to_str())
+        self.kind = self._kind(spec)
+        if self.kind != WHOLE:
+            self._prepare_many(spec["model"].get("end_of_word_suffix"))
         self.ids_type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
 
@@ -156,38 +219,79 @@ class Encoder:
         self.flat = np.zeros(1 << 20, self.ids_type)
         self.ends = np.zeros(1 << 16, np.int32)  # of each known piece in ``flat``
 
+    def _prepare_many(self, suffix: str | None) -> None:
+        """The tokenizer's own model over pretokens with ``BETWEEN`` between them, and the ids at which one ends.
+
+        A model with a suffix of words tells their last ids by it; else the letter between them has its own id.
+        """
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        vocabulary = self.tokenizer.get_vocab()
+        self.suffixed = bool(suffix)
+        self.many = Tokenizer(self.tokenizer.model)
+        self.many.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(BETWEEN) if suffix else pre_tokenizers.Split(BETWEEN, "isolated")
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[n for piece, n in vocabulary.items() if (piece.endswith(suffix) if suffix else piece == BETWEEN)]] = True
+
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces: single pretokens by the tokenizer's BPE model, the rest by the whole tokenizer."""
-        simple = [SIMPLE.fullmatch(p) is not None for p in pieces]
-        out: list = [None] * len(pieces)
-        at = [k for k, x in enumerate(simple) if x]
-        if self.kind == WORDS:  # in lower case, without the leading space
-            letters = "\n".join([pieces[k].lstrip(" ") for k in at]).lower()
+    def _ids_of_simple(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)`` of single pretokens, by the tokenizer's BPE model."""
+        letters = b"\n".join(pieces)
+        if letters.isascii():
+            letters = letters.decode().replace("\n", BETWEEN).replace(" ", BYTE_LETTERS[32])
         else:
-            letters = "\n".join([pieces[k] for k in at])
-        tokenize = self.tokenizer.model.tokenize
-        for k, word in zip(at, letters.encode().decode("latin-1").translate(BYTE_LETTERS).split(BYTE_LETTERS[10])):
-            out[k] = [t.id for t in tokenize(word)]
-        rest = [k for k, x in enumerate(simple) if not x]
-        for lo in range(0, len(rest), 4096):
-            part = rest[lo : lo + 4096]
-            for k, ids in zip(part, self.encode_whole([pieces[k] for k in part])):
-                out[k] = ids
-        return out
+            if self.kind == WORDS:  # in lower case
+                letters = letters.decode().lower().encode()
+            letters = letters.decode("latin-1").translate(BYTE_LETTERS)
+        [found] = self.many.encode_batch_fast([letters if self.suffixed else letters + BETWEEN], add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        last = self.last[ids]
+        sizes = np.diff(np.flatnonzero(last), prepend=-1)
+        if not self.suffixed:
+            ids, sizes = ids[~last], sizes - 1
+        if len(sizes) == len(pieces) and sizes.sum() == len(ids):
+            return ids, sizes
+        lists = [[t.id for t in self.tokenizer.model.tokenize(word)] for word in letters.split(BETWEEN)]
+        return np.fromiter(chain.from_iterable(lists), np.int64), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def _ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)`` of pieces: single pretokens by the tokenizer's BPE model, the rest by the whole tokenizer."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        upto = np.cumsum(sizes)
+        joined = b"".join(pieces)
+        holds = np.bitwise_or.reduceat(np.frombuffer(joined.translate(HOLDS), np.uint8), upto - sizes)
+        holds[np.searchsorted(upto, lone_signs(joined), "right")] = OTHER
+        plain = (holds == A_LETTER) | (holds == A_MARK)
+        simple = plain | (holds == LATIN) | (holds == A_LETTER | LATIN)
+        ids, sizes = [np.zeros(0, np.int64)], np.zeros(len(pieces), np.int64)
+        order = np.argsort(2 - plain - simple.view(np.int8), kind="stable")
+        n = int(simple.sum())
+        for lo in range(0, n, MANY):
+            at = order[lo : min(lo + MANY, n)]
+            part, sizes[at] = self._ids_of_simple([pieces[k] for k in at.tolist()])
+            ids.append(part)
+        for lo in range(n, len(pieces), MANY):
+            at = order[lo : lo + MANY]
+            lists = self.encode_whole([pieces[k].decode() for k in at.tolist()])
+            sizes[at] = [len(x) for x in lists]
+            ids.append(np.fromiter(chain.from_iterable(lists), np.int64))
+        begins = (np.cumsum(sizes) - sizes)[order]
+        out = np.zeros(int(sizes.sum()), np.int64)
+        out[stretches(begins, sizes[order])] = np.concatenate(ids)
+        return out, sizes
 
     def _learn(self, new: list[bytes], kept: int) -> None:
         """Puts the ids of ``new`` behind the known pieces; only the first ``kept`` stay there after this batch."""
-        lists = self._ids_of([p.decode() for p in new])
+        ids, sizes = self._ids_of(new)
         base, used = len(self.known), self.ends[len(self.known) - 1] if self.known else 0
-        ends = used + np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+        ends = used + np.cumsum(sizes)
         while int(ends[-1]) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while base + len(new) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[used : ends[-1]] = np.fromiter(chain.from_iterable(lists), self.ids_type, int(ends[-1] - used))
+        self.flat[used : ends[-1]] = ids
         self.ends[base : base + len(new)] = ends
         self.known.update(zip(new[:kept], range(base, base + kept)))
 
@@ -198,10 +302,13 @@ class Encoder:
             odd = np.diff(np.searchsorted(unusual_space(data), off)) > 0
         if odd.any():
             return self._mixed(data, off, odd)
-        starts = pretoken_cuts(data, off)
+        if self.kind == WORDS:
+            starts, data, bounds = word_cuts(data, off)
+        else:
+            starts = pretoken_cuts(data, off)
+            bounds = np.append(starts, len(data)).astype(np.int64, copy=False)
         if not len(starts):
             return np.zeros(0, self.ids_type), np.zeros(len(off), np.int64)
-        bounds = np.append(starts, len(data)).astype(np.int64, copy=False)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         _, ends, raw = pieces.dictionary.buffers()
         ends, raw = np.frombuffer(ends, np.int64)[: len(pieces.dictionary) + 1].tolist(), raw.to_pybytes()
@@ -212,7 +319,7 @@ class Encoder:
         new = [k for k, row in enumerate(rows) if row is None]
         if new:
             base = len(self.known)
-            place = np.fromiter((hash(distinct[k]) for k in new), np.int64, len(new)) % MET
+            place = np.fromiter(map(hash, [distinct[k] for k in new]), np.int64, len(new)) % MET
             again = self.met[place]
             self.met[place] = True
             new = [new[k] for k in np.argsort(~again, kind="stable").tolist()]
@@ -225,8 +332,7 @@ class Encoder:
         which = pieces.indices.to_numpy()
         sizes = (ends - begins)[which]
         upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        shift = begins[which] - upto[:-1]
-        ids = self.flat[np.repeat(shift, sizes) + np.arange(upto[-1])]
+        ids = self.flat[stretches(begins[which], sizes)]
         return ids, upto[np.searchsorted(starts, off)]
 
     def _mixed(self, data: np.ndarray, off: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
